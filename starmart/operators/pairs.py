@@ -9,6 +9,7 @@ from starmart.session import materialize
 
 # Carts up to this many lines are joined with themselves, which costs at most this many rows per line.
 DIRECT_LINES = 64
+BLOCK_TITLES = 1024
 
 
 def _direct(lines: DataFrame) -> DataFrame:
@@ -39,9 +40,13 @@ def _halving(lines: DataFrame, largest: int) -> DataFrame:
         .groupBy("cart_id", "level", "node", "half", "title").agg(F.count("*").alias("n"))
     )
     halves = materialize(halves, "pair_halves")
-    node = ["cart_id", "level", "node"]
-    left = halves.filter("half = 0").select(*node, F.col("title").alias("product_a"), F.col("n").alias("n_a"))
-    right = halves.filter("half = 1").select(*node, F.col("title").alias("product_b"), F.col("n").alias("n_b"))
+    # a half of level l holds up to 2^l lines: its left titles are dealt over blocks of about BLOCK_TITLES
+    blocks = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("level")) / BLOCK_TITLES)).cast("int")
+    node = ["cart_id", "level", "node", "block"]
+    left = halves.filter("half = 0").withColumn("block", F.pmod(F.xxhash64("title"), blocks).cast("int"))
+    right = halves.filter("half = 1").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    left = left.select(*node, F.col("title").alias("product_a"), F.col("n").alias("n_a"))
+    right = right.select(*node, F.col("title").alias("product_b"), F.col("n").alias("n_b"))
     return left.join(right, node).groupBy("product_a", "product_b").agg(
         F.sum(F.col("n_a") * F.col("n_b")).alias("carts_together")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.json_fields import Field, is_object
 from starmart.rules import ENTITY_KEYS, RULES
-from starmart.session import materialize
+from starmart.session import counted, materialize, together
 
 NOT_AN_OBJECT = "record_not_an_object"
 
@@ -18,7 +18,7 @@ class Checked:
     """The rows of one entity, each with its reasons; a row without reasons is valid."""
 
     entity: str
-    source: DataFrame   # what came in, to reconcile against
+    input_count: int   # what came in, counted before the rules, to reconcile against
     rows: DataFrame
 
     @property
@@ -39,9 +39,9 @@ class Checked:
             F.count_if(F.size("reasons") == 0).alias("valid_count"),
             F.count_if(F.size("reasons") > 0).alias("rejected_count"),
         )
-        came_in = self.source.agg(F.count("*").alias("n"))
+        came_in = F.lit(self.input_count).cast("bigint")
         return split.select(
-            F.lit(self.entity).alias("entity"), came_in.scalar().alias("input_count"), "valid_count", "rejected_count"
+            F.lit(self.entity).alias("entity"), came_in.alias("input_count"), "valid_count", "rejected_count"
         )
 
 
@@ -101,25 +101,28 @@ def check_lines(lines: DataFrame) -> DataFrame:
     return apply_rules(flatten(lines, "cart_items", F.col("line_value"), keep), "cart_items", keep)
 
 
-def later_repeats(rows: DataFrame, keys: list[str], identity: list[str]) -> DataFrame:
-    """Identities of the clean rows that repeat an earlier clean row's key.
+def repeated_keys(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Keys that more than one clean row has, with the place of the first.
 
-    The earliest row per key is a plain minimum, so partial aggregation takes the weight off a
-    hot key, and the comparison then runs on the identity, which is unique and spreads evenly.
-    A row's order is the last identity column; the ones before it are part of the key.
+    A count and a minimum per key: partial aggregation folds a hot key before the exchange.
     """
-    order = identity[-1]
-    clean = rows.filter(F.size("reasons") == 0).select(*dict.fromkeys([*keys, *identity]))
-    first = clean.groupBy(*keys).agg(F.min(order).alias(order)).select(*identity)
-    return clean.select(*identity).join(first, identity, "left_anti")
+    clean = rows.filter(F.size("reasons") == 0)
+    groups = clean.groupBy(*keys).agg(F.min(order).alias("first_place"), F.count("*").alias("n"))
+    return groups.filter(F.col("n") > 1).drop("n")
 
 
-def reject_repeats(rows: DataFrame, entity: str, identity: list[str]) -> DataFrame:
+def reject_repeats(rows: DataFrame, entity: str, order: str) -> DataFrame:
+    """First wins: a clean row behind the first one of its key is rejected, a failed row holds no key.
+
+    Only the repeated keys are joined back. They are written first, so their size is known when
+    the join is planned; usually they are few and the rows stay where they are.
+    """
     keys = ENTITY_KEYS[entity]
-    repeats = materialize(later_repeats(rows, keys, identity), f"{entity}_repeats")
-    marked = rows.join(repeats.withColumn("repeats", F.lit(True)), identity, "left")
+    repeated = materialize(repeated_keys(rows, keys, order), f"{entity}_repeats")
+    later = (F.size("reasons") == 0) & (F.col(order) > F.col("first_place"))
     reason = F.array(F.lit(f"duplicate_key:{'+'.join(keys)}"))
-    return marked.withColumn("reasons", F.when(F.col("repeats"), reason).otherwise(F.col("reasons"))).drop("repeats")
+    marked = rows.join(repeated, keys, "left")
+    return marked.withColumn("reasons", F.when(later, reason).otherwise(F.col("reasons"))).select(rows.columns)
 
 
 def orphan_ids(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:
@@ -132,35 +135,44 @@ def reject_orphans(lines: DataFrame, users: DataFrame, products: DataFrame) -> D
     """Adds orphan reasons to clean lines whose user or product is not valid in this batch."""
     clean = F.size("reasons") == 0
     out = lines
-    for column, known in (("user_id", users), ("product_id", products)):
-        lost = materialize(orphan_ids(lines, column, known), f"orphan_{column}")
+    found = together(
+        lambda: materialize(orphan_ids(lines, "user_id", users), "orphan_users"),
+        lambda: materialize(orphan_ids(lines, "product_id", products), "orphan_products"),
+    )
+    for column, lost in zip(("user_id", "product_id"), found):
         out = out.join(lost.withColumn(f"no_{column}", F.lit(True)), column, "left")
-    found = F.array_compact(F.array(
+    lost_reasons = F.array_compact(F.array(
         F.when(F.col("no_user_id"), "orphan_reference:user_id"),
         F.when(F.col("no_product_id"), "orphan_reference:product_id"),
     ))
-    return out.withColumn("reasons", F.when(clean, found).otherwise(F.col("reasons"))).select(lines.columns)
+    return out.withColumn("reasons", F.when(clean, lost_reasons).otherwise(F.col("reasons"))).select(lines.columns)
 
 
 def validate_entity(records: DataFrame, entity: str) -> Checked:
+    records, came_in = counted(records)
     rows = materialize(check_records(records, entity), f"{entity}_checked")
-    return Checked(entity, records, reject_repeats(rows, entity, ["pos"]))
+    return Checked(entity, came_in(), reject_repeats(rows, entity, "pos"))
 
 
 def validate_lines(carts: Checked) -> Checked:
     """Lines of the valid carts, checked on their own; references come after."""
-    source = materialize(explode_lines(carts.valid), "cart_lines")
-    rows = materialize(check_lines(source), "cart_items_checked")
-    return Checked("cart_items", source, reject_repeats(rows, "cart_items", ["cart_id", "line"]))
+    lines, came_in = counted(explode_lines(carts.valid))
+    rows = materialize(check_lines(lines), "cart_items_checked")
+    return Checked("cart_items", came_in(), reject_repeats(rows, "cart_items", "line"))
 
 
 def validate_all(records: dict[str, DataFrame]) -> dict[str, Checked]:
-    products = validate_entity(records["products"], "products")
-    users = validate_entity(records["users"], "users")
-    carts = validate_entity(records["carts"], "carts")
-    lines = validate_lines(carts)
-    rows = reject_orphans(lines.rows, users.valid, products.valid)
-    items = Checked("cart_items", lines.source, materialize(rows, "cart_items_final"))
+    def carts_and_lines():
+        carts = validate_entity(records["carts"], "carts")
+        return carts, validate_lines(carts)
+
+    products, users, (carts, lines) = together(
+        lambda: validate_entity(records["products"], "products"),
+        lambda: validate_entity(records["users"], "users"),
+        carts_and_lines,
+    )
+    rows = materialize(reject_orphans(lines.rows, users.valid, products.valid), "cart_items_final")
+    items = Checked("cart_items", lines.input_count, rows)
     return {"products": products, "users": users, "carts": carts, "cart_items": items}
 
 

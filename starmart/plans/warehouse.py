@@ -87,11 +87,13 @@ class Warehouse:
         df.select(TABLES[name].names).write.parquet(path)
         return path
 
-    def write_fact(self, df: DataFrame, run_id: str, months: list[int]) -> dict[str, str]:
+    def write_fact(self, df: DataFrame, run_id: str, months: list[int], arrange: bool = True) -> dict[str, str]:
         """Ranges by month and key: a large month spreads over many tasks, and file statistics stay tight."""
         path = f"{self.root}/data/fact_sales/run={run_id}"
         order = ["month", "cart_id", "product_key"]
-        rows = df.select(TABLES["fact_sales"].names).repartitionByRange(*order).sortWithinPartitions(*order)
+        rows = df.select(TABLES["fact_sales"].names)
+        if arrange:
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         rows.write.partitionBy("month").parquet(path)
         return {str(m): f"{path}/month={m}" for m in months if self.exists(f"{path}/month={m}")}
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Settings the results or the plans rely on; all can be changed at run time.
 SETTINGS = {
@@ -53,3 +56,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and its row count once an action over it has run; counting costs no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get.get("n") or 0)
+
+
+def together(*work: Callable[[], object]) -> list:
+    """Runs independent Spark jobs side by side, so that small ones do not queue behind large ones."""
+    same_tags = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(same_tags(w)) for w in work]]
