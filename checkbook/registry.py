@@ -109,26 +109,26 @@ def flatten_records(spark, d):
 
 def reject_non_object(spark, d):
     rows = rule_rows(spark, d)
-    return _each(spark, d, lambda e: rows[e].filter(F.array_contains("reasons", validate.NOT_AN_OBJECT)).select("pos"))
+    return _each(spark, d, lambda e: rows[e].filter(F.col("reasons") == validate.NOT_AN_OBJECT).select("pos"))
 
 
 def _rule(prefix: str) -> Query:
     def query(spark, d):
         rows = rule_rows(spark, d)
-        return _each(spark, d, lambda e: rows[e].select("pos", F.explode("reasons").alias("reason"))
+        return _each(spark, d, lambda e: rows[e].select("pos", F.explode(F.split("reasons", validate.SEPARATOR)).alias("reason"))
                      .filter(F.col("reason").startswith(prefix)))
     return query
 
 
 def reject_reasons(spark, d):
     rows = rule_rows(spark, d)
-    return _each(spark, d, lambda e: rows[e].filter(F.size("reasons") > 0)
-                 .select("pos", F.array_join("reasons", "; ").alias("reject_reason")))
+    return _each(spark, d, lambda e: rows[e].filter(F.col("reasons") != "")
+                 .select("pos", F.col("reasons").alias("reject_reason")))
 
 
 def dedup_first_wins(spark, d):
     rows = m.checked(spark, d)
-    return _each(spark, d, lambda e: rows[e].rows.filter(F.array_contains("reasons", "duplicate_key:id")).select("pos"))
+    return _each(spark, d, lambda e: rows[e].rows.filter(F.col("reasons") == "duplicate_key:id").select("pos"))
 
 
 def explode_cart_lines(spark, d):
@@ -139,7 +139,7 @@ def explode_cart_lines(spark, d):
 def orphan_lines(spark, d):
     got = m.checked(spark, d)
     rows = validate.reject_orphans(validate.validate_lines(got["carts"]).rows, got["users"].valid, got["products"].valid)
-    return rows.select("cart_id", "line", F.array_join("reasons", "; ").alias("reason")).filter(
+    return rows.select("cart_id", "line", F.col("reasons").alias("reason")).filter(
         F.col("reason").startswith("orphan"))
 
 

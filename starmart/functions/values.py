@@ -8,12 +8,12 @@ from pyspark.sql import Column, functions as F
 TIER_EDGES = [(25, "budget"), (100, "standard")]
 RATING_EDGES = [("4.5", "excellent"), ("4.0", "good"), ("3.0", "average")]
 
-# Accepted forms of a date or time stamp, and the years a time stamp may have.
+# Accepted forms of a date or time stamp, and the years it may name.
 ISO_FORM = (
     r"^(\d{4})(?:-(\d{1,2})(?:-(\d{1,2}))?|(\d{2})(\d{2}))?"
     r"(?:[T ](\d{1,2})(?::?(\d{2})(?::?(\d{2})(?:\.(\d+))?)?)?\s?(Z|[+-]\d{2}(?::?\d{2})?)?)?\z"
 )
-FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
+FIRST_YEAR, LAST_YEAR = "1678", "2261"
 
 
 def price_tier(price: Column) -> Column:
@@ -48,10 +48,9 @@ def iso_timestamp(text: Column) -> Column:
     )
     # the usual forms need one match and one cast; the rebuilt text serves the rare ones
     usual = text.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?)?\z")
-    stamp = F.when(usual, text.try_cast("timestamp")).when(
-        text.rlike(ISO_FORM), rebuilt.try_cast("timestamp")
-    )
-    return F.when(stamp.between(F.lit(FIRST_DAY).cast("timestamp"), F.lit(LAST_DAY).cast("timestamp")), stamp)
+    return F.when(~F.substring(text, 1, 4).between(FIRST_YEAR, LAST_YEAR), None).when(
+        usual, text.try_cast("timestamp")
+    ).when(text.rlike(ISO_FORM), rebuilt.try_cast("timestamp"))
 
 
 def utc_day(text: Column) -> Column:

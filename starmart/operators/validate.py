@@ -10,7 +10,14 @@ from starmart.functions.json_fields import Field, is_object
 from starmart.rules import ENTITY_KEYS, RULES
 from starmart.session import counted, materialize, together
 
+# The reason for a record that is no object, and what stands between reasons.
 NOT_AN_OBJECT = "record_not_an_object"
+SEPARATOR = "; "
+
+
+def is_clean() -> Column:
+    """A plain comparison, so that the Parquet scan can skip on it."""
+    return F.col("reasons") == ""
 
 
 @dataclass
@@ -23,21 +30,21 @@ class Checked:
 
     @property
     def valid(self) -> DataFrame:
-        return self.rows.filter(F.size("reasons") == 0).drop("reasons")
+        return self.rows.filter(is_clean()).drop("reasons")
 
     @property
     def rejected(self) -> DataFrame:
-        return self.rows.filter(F.size("reasons") > 0).select(
+        return self.rows.filter(F.col("reasons") != "").select(
             F.lit(self.entity).alias("entity"),
-            F.array_join("reasons", "; ").alias("reject_reason"),
+            F.col("reasons").alias("reject_reason"),
             raw_record(self.entity).alias("raw_record"),
         )
 
     def counts(self) -> DataFrame:
         """One row: entity, input_count, valid_count, rejected_count."""
         split = self.rows.agg(
-            F.count_if(F.size("reasons") == 0).alias("valid_count"),
-            F.count_if(F.size("reasons") > 0).alias("rejected_count"),
+            F.count_if(is_clean()).alias("valid_count"),
+            F.count_if(~is_clean()).alias("rejected_count"),
         )
         came_in = F.lit(self.input_count).cast("bigint")
         return split.select(
@@ -54,34 +61,37 @@ def raw_record(entity: str) -> Column:
                               F.variant_get("line_value", "$.quantity", "variant").alias("quantity"), "user_id"))
 
 
+def _fields(entity: str) -> list[Field]:
+    return [Field(rule, flattened=entity != "cart_items") for rule in RULES[entity]]
+
+
 def flatten(source: DataFrame, entity: str, variant: Column, keep: list[str]) -> DataFrame:
-    """One token type, one text and one blank mark per rule; nested names joined by an underscore."""
-    fields = [Field(rule, flattened=entity != "cart_items") for rule in RULES[entity]]
-    raw = source.select(*keep, *[c for f in fields for c in f.raw_columns(variant)])
-    return raw.withColumns({f"{f.rule.name}__blank": F.coalesce(f.blank(), F.lit(True)) for f in fields})
+    """One token type and one text per rule; nested names joined by an underscore."""
+    raw = {name: c for f in _fields(entity) for name, c in f.raw(variant).items()}
+    return source.select(*keep, *[c.alias(name) for name, c in raw.items()])
 
 
 def apply_rules(flat: DataFrame, entity: str, keep: list[str]) -> DataFrame:
-    """Typed values and all failed tests per row, in rule order."""
-    fields = [Field(rule, flattened=entity != "cart_items") for rule in RULES[entity]]
-    names = [f.rule.name for f in fields]
-    typed = flat.withColumns(
-        {f.rule.name: F.when(~F.col(f"{f.rule.name}__blank"), f.value()) for f in fields}
-    )
-    messages = [m for f in fields for m in f.reasons(F.col(f.rule.name))]
-    return typed.select(*keep, *names, F.array_compact(F.array(*messages)).alias("reasons"))
+    """Typed values, and all failed tests per row in rule order, joined; empty for a clean row."""
+    fields, out = _fields(entity), flat
+    for step in (Field.kinds, Field.numbers):
+        out = out.withColumns({name: c for f in fields for name, c in step(f).items()})
+    blank = lambda f: F.col(f"{f.rule.name}__blank")
+    out = out.withColumns({f.rule.name: F.when(~blank(f), f.value()) for f in fields})
+    messages = [m for f in fields for m in f.reasons()]
+    return out.select(*keep, *[f.rule.name for f in fields], F.concat_ws(SEPARATOR, *messages).alias("reasons"))
 
 
 def check_records(records: DataFrame, entity: str) -> DataFrame:
     """records(pos, rec) -> pos, rec, one typed column per rule, reasons. No shuffle."""
     parsed = records.select("pos", "rec", F.try_parse_json("rec").alias("v"))
-    parsed = parsed.withColumn("is_object", is_object(F.col("v")))
+    parsed = parsed.withColumn("is_object", is_object(F.col("v"), F.col("rec")))
     keep = ["pos", "rec", "is_object"]
     if entity == "carts":
         parsed = parsed.withColumn("cart_lines", F.variant_get("v", "$.products", "variant"))
         keep.append("cart_lines")
     out = apply_rules(flatten(parsed, entity, F.col("v"), keep), entity, keep)
-    reasons = F.when(F.col("is_object"), F.col("reasons")).otherwise(F.array(F.lit(NOT_AN_OBJECT)))
+    reasons = F.when(F.col("is_object"), F.col("reasons")).otherwise(NOT_AN_OBJECT)
     return out.withColumn("reasons", reasons).drop("is_object")
 
 
@@ -106,7 +116,7 @@ def repeated_keys(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 
     A count and a minimum per key: partial aggregation folds a hot key before the exchange.
     """
-    clean = rows.filter(F.size("reasons") == 0)
+    clean = rows.filter(is_clean())
     groups = clean.groupBy(*keys).agg(F.min(order).alias("first_place"), F.count("*").alias("n"))
     return groups.filter(F.col("n") > 1).drop("n")
 
@@ -119,21 +129,20 @@ def reject_repeats(rows: DataFrame, entity: str, order: str) -> DataFrame:
     """
     keys = ENTITY_KEYS[entity]
     repeated = materialize(repeated_keys(rows, keys, order), f"{entity}_repeats")
-    later = (F.size("reasons") == 0) & (F.col(order) > F.col("first_place"))
-    reason = F.array(F.lit(f"duplicate_key:{'+'.join(keys)}"))
+    later = is_clean() & (F.col(order) > F.col("first_place"))
+    reason = f"duplicate_key:{'+'.join(keys)}"
     marked = rows.join(repeated, keys, "left")
     return marked.withColumn("reasons", F.when(later, reason).otherwise(F.col("reasons"))).select(rows.columns)
 
 
 def orphan_ids(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:
     """Distinct referenced ids that no valid record has. Both sides are unique ids: no hot key."""
-    wanted = rows.filter(F.size("reasons") == 0).select(column).distinct()
+    wanted = rows.filter(is_clean()).select(column).distinct()
     return wanted.join(known.select(F.col("id").alias(column)), column, "left_anti")
 
 
 def reject_orphans(lines: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
     """Adds orphan reasons to clean lines whose user or product is not valid in this batch."""
-    clean = F.size("reasons") == 0
     out = lines
     found = together(
         lambda: materialize(orphan_ids(lines, "user_id", users), "orphan_users"),
@@ -141,11 +150,11 @@ def reject_orphans(lines: DataFrame, users: DataFrame, products: DataFrame) -> D
     )
     for column, lost in zip(("user_id", "product_id"), found):
         out = out.join(lost.withColumn(f"no_{column}", F.lit(True)), column, "left")
-    lost_reasons = F.array_compact(F.array(
-        F.when(F.col("no_user_id"), "orphan_reference:user_id"),
+    lost_reasons = F.concat_ws(
+        SEPARATOR, F.when(F.col("no_user_id"), "orphan_reference:user_id"),
         F.when(F.col("no_product_id"), "orphan_reference:product_id"),
-    ))
-    return out.withColumn("reasons", F.when(clean, lost_reasons).otherwise(F.col("reasons"))).select(lines.columns)
+    )
+    return out.withColumn("reasons", F.when(is_clean(), lost_reasons).otherwise(F.col("reasons"))).select(lines.columns)
 
 
 def validate_entity(records: DataFrame, entity: str) -> Checked:

@@ -141,8 +141,8 @@ def test_hot_key_keeps_the_first_only(spark):
     """Half of all rows repeat one key."""
     rows = spark.range(20_000).select(
         F.col("id").alias("pos"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("id"),
-        F.array().cast("array<string>").alias("reasons"))
-    out = validate.reject_repeats(rows, "products", "pos").filter(F.size("reasons") > 0)
+        F.lit("").alias("reasons"))
+    out = validate.reject_repeats(rows, "products", "pos").filter("reasons <> ''")
     # pos 7 carries key 7 as well, but pos 0 came first
     assert out.count() == 10_000 and out.filter("pos = 0").count() == 0 and ENTITY_KEYS["products"] == ["id"]
 
