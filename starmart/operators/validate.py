@@ -34,7 +34,7 @@ class Checked:
 
     @property
     def rejected(self) -> DataFrame:
-        return self.rows.filter(F.col("reasons") != "").select(
+        return failed_rows(self.rows).select(
             F.lit(self.entity).alias("entity"),
             F.col("reasons").alias("reject_reason"),
             raw_record(self.entity).alias("raw_record"),
@@ -129,10 +129,14 @@ def reject_repeats(rows: DataFrame, entity: str, order: str) -> DataFrame:
     """
     keys = ENTITY_KEYS[entity]
     repeated = materialize(repeated_keys(rows, keys, order), f"{entity}_repeats")
-    later = is_clean() & (F.col(order) > F.col("first_place"))
-    reason = f"duplicate_key:{'+'.join(keys)}"
-    marked = rows.join(repeated, keys, "left")
-    return marked.withColumn("reasons", F.when(later, reason).otherwise(F.col("reasons"))).select(rows.columns)
+    reason = F.when(F.col(order) > F.col("first_place"), f"duplicate_key:{'+'.join(keys)}").otherwise("")
+    marked = rows.filter(is_clean()).join(repeated, keys, "left").withColumn("reasons", reason).select(rows.columns)
+    return marked.unionByName(failed_rows(rows))
+
+
+def failed_rows(rows: DataFrame) -> DataFrame:
+    """Rows that later steps pass by: many have no key at all and would crowd one partition of a join."""
+    return rows.filter(~is_clean())
 
 
 def orphan_ids(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:
@@ -143,18 +147,18 @@ def orphan_ids(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:
 
 def reject_orphans(lines: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
     """Adds orphan reasons to clean lines whose user or product is not valid in this batch."""
-    out = lines
+    out = lines.filter(is_clean())
     found = together(
         lambda: materialize(orphan_ids(lines, "user_id", users), "orphan_users"),
         lambda: materialize(orphan_ids(lines, "product_id", products), "orphan_products"),
     )
     for column, lost in zip(("user_id", "product_id"), found):
         out = out.join(lost.withColumn(f"no_{column}", F.lit(True)), column, "left")
-    lost_reasons = F.concat_ws(
+    reasons = F.concat_ws(
         SEPARATOR, F.when(F.col("no_user_id"), "orphan_reference:user_id"),
         F.when(F.col("no_product_id"), "orphan_reference:product_id"),
     )
-    return out.withColumn("reasons", F.when(is_clean(), lost_reasons).otherwise(F.col("reasons"))).select(lines.columns)
+    return out.withColumn("reasons", reasons).select(lines.columns).unionByName(failed_rows(lines))
 
 
 def validate_entity(records: DataFrame, entity: str) -> Checked:

@@ -32,12 +32,14 @@ def monthly_growth(t: Tables) -> DataFrame:
 def top_customers(t: Tables, n: int = 10) -> DataFrame:
     """Ranks only the n rows kept: no row outside them can come before one of them."""
     spend = per_customer(t)
-    total = spend.agg(F.sum("revenue")).scalar()
+    total = t["fact_sales"].agg(F.sum("line_total")).scalar()   # one column, no exchange of keys
     names = t["dim_customer"].select("customer_key", "customer_id", "full_name", "city")
     top = spend.join(names, "customer_key").orderBy(F.desc("revenue"), "customer_id").limit(n)
-    return top.select(
-        F.dense_rank().over(Window.orderBy(F.desc("revenue"))).alias("revenue_rank"),
-        "customer_id", "full_name", "city", F.col("revenue").alias("lifetime_value"),
+    # the share comes after the rank: a projection right above the limit would be pushed below it
+    # and turn the top-n into a full sort
+    ranked = top.withColumn("revenue_rank", F.dense_rank().over(Window.orderBy(F.desc("revenue"))))
+    return ranked.select(
+        "revenue_rank", "customer_id", "full_name", "city", F.col("revenue").alias("lifetime_value"),
         percent(F.col("revenue"), total).alias("pct_of_total_revenue"),
     ).orderBy("revenue_rank", "customer_id")
 
