@@ -9,33 +9,38 @@ from starmart.session import materialize
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number within a partition in these
 
 
-def with_position(df: DataFrame, order: list[Column], name: str = "position", total: str | None = None) -> DataFrame:
+def with_position(df: DataFrame, order: list[Column], name: str = "position", total: str | None = None,
+                  running: tuple[str, str] | None = None) -> DataFrame:
     """Adds each row's 1-based position in `order`, which has to break all ties.
 
-    Range partitions are sorted and numbered on their own and written once; the start of each
-    partition is a running sum over one small row per partition. The written table fixes the
-    range boundaries, so a lost executor cannot shift them.
+    `total` names a column for the number of rows; `running` = (column, name) adds that column's
+    running sum. Range partitions are sorted and numbered on their own and written once; the start
+    of each partition is a running sum over one small row per partition. The written table fixes
+    the range boundaries, so a lost executor cannot shift them.
     """
     numbered = (
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    kept = materialize(numbered, "positions")
-    part = F.shiftright("_slot", _ROW_BITS)
-    sizes = kept.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    kept = materialize(numbered, "positions").withColumn("_part", F.shiftright("_slot", _ROW_BITS))
+    value = F.col(running[0]) if running else F.lit(0)
+    parts = kept.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(value).alias("_s"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    starts = sizes.select(
+    starts = parts.select(
         "_part",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(everything).alias("_total"),
+        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start_sum"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
     # one row per written partition, so the broadcast side is bounded by the number of tasks
-    out = kept.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    out = kept.join(F.broadcast(starts), "_part")
     row = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     added = [(F.col("_start") + row + 1).alias(name)]
     if total:
         added.append(F.col("_total").alias(total))
+    if running:
+        within = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+        added.append((F.col("_start_sum") + F.sum(running[0]).over(within)).alias(running[1]))
     return out.select(*df.columns, *added)
 
 

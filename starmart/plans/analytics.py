@@ -8,7 +8,7 @@ from starmart.functions.values import key_to_date
 from starmart.operators.pairs import pair_counts
 from starmart.operators.position import tile, with_position
 from starmart.plans.aggregates import (
-    Tables, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue,
+    Tables, all_revenue, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue,
 )
 
 # Recency limits in days.
@@ -32,7 +32,6 @@ def monthly_growth(t: Tables) -> DataFrame:
 def top_customers(t: Tables, n: int = 10) -> DataFrame:
     """Ranks only the n rows kept: no row outside them can come before one of them."""
     spend = per_customer(t)
-    total = t["fact_sales"].agg(F.sum("line_total")).scalar()   # one column, no exchange of keys
     names = t["dim_customer"].select("customer_key", "customer_id", "full_name", "city")
     top = spend.join(names, "customer_key").orderBy(F.desc("revenue"), "customer_id").limit(n)
     # the share comes after the rank: a projection right above the limit would be pushed below it
@@ -40,14 +39,14 @@ def top_customers(t: Tables, n: int = 10) -> DataFrame:
     ranked = top.withColumn("revenue_rank", F.dense_rank().over(Window.orderBy(F.desc("revenue"))))
     return ranked.select(
         "revenue_rank", "customer_id", "full_name", "city", F.col("revenue").alias("lifetime_value"),
-        percent(F.col("revenue"), total).alias("pct_of_total_revenue"),
+        percent(F.col("revenue"), all_revenue(t)).alias("pct_of_total_revenue"),
     ).orderBy("revenue_rank", "customer_id")
 
 
 def category_mix(t: Tables) -> DataFrame:
     return per_category(t, "category_display").select(
         F.col("category_display").alias("category"), "orders", "units_sold", "revenue",
-        percent(F.col("revenue"), grand_total("revenue")).alias("revenue_share_pct"),
+        percent(F.col("revenue"), all_revenue(t)).alias("revenue_share_pct"),
     ).orderBy(F.desc("revenue"), "category")
 
 
@@ -178,11 +177,12 @@ def city_pareto(t: Tables) -> DataFrame:
     cities = per_customer(t).join(homes, "customer_key").groupBy("city").agg(
         F.count("*").alias("customers"), F.sum("revenue").alias("revenue")
     )
-    down = Window.orderBy(F.desc("revenue"))   # one row per city
-    so_far = F.sum("revenue").over(Window.orderBy(F.desc("revenue"), "city"))
-    return cities.select(
-        F.rank().over(down).alias("city_rank"), "city", "customers", "revenue",
-        percent(so_far, grand_total("revenue")).alias("cumulative_pct_of_revenue"),
+    # cities are free text, so their number has no bound: positions and running sums per range
+    placed = with_position(cities, [F.desc("revenue"), F.col("city")], "at", running=("revenue", "so_far"))
+    ranks = placed.groupBy("revenue").agg(F.min("at").alias("city_rank"))
+    return placed.join(ranks, "revenue").select(
+        "city_rank", "city", "customers", "revenue",
+        percent(F.col("so_far"), all_revenue(t)).alias("cumulative_pct_of_revenue"),
     ).orderBy("city_rank", "city")
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -41,9 +42,29 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPE = "starmart.scratch.scope"   # session setting, so that all threads of a session see it
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    scope = spark.conf.get(_SCOPE, "session")
+    return f"{scratch_root(spark)}/starmart/{spark.sparkContext.applicationId}/{scope}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/starmart/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """What is materialized inside goes away at the end, also after a failure."""
+    outer = spark.conf.get(_SCOPE, None)
+    spark.conf.set(_SCOPE, f"{name}-{uuid.uuid4().hex[:6]}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    try:
+        yield
+    finally:
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        spark.conf.unset(_SCOPE) if outer is None else spark.conf.set(_SCOPE, outer)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

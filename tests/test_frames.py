@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
+from urllib.parse import urlparse
 from datetime import date
 from decimal import Decimal
 
@@ -16,6 +18,7 @@ from starmart.operators.pairs import pair_counts
 from starmart.operators.position import tile, with_position
 from starmart.plans import checks
 from starmart.plans.aggregates import ratio
+from starmart.session import materialize, scratch_scope
 from starmart.schemas import FRAME_COLUMNS, FRAMES, empty
 from starmart.sources import records as src
 from starmart.sources import zones
@@ -146,6 +149,21 @@ def test_tiles_equal_the_window_function(spark, n):
     assert got == want
 
 
+def test_running_sums_equal_the_window_function(spark):
+    rows = spark.range(500).select("id", (F.col("id") * 37 % 11).alias("v")).repartition(8)
+    got = with_position(rows, [F.desc("v"), F.col("id")], "at", running=("v", "s"))
+    rows.createOrReplaceTempView("sum_rows")
+    want = spark.sql("SELECT id, v, row_number() OVER (ORDER BY v DESC, id) AS at, sum(v) OVER (ORDER BY v DESC, id) AS s FROM sum_rows")
+    assert {tuple(r) for r in got.select("id", "v", "at", "s").collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_scratch_goes_away(spark):
+    with scratch_scope(spark, "t"):
+        path = Path(urlparse(materialize(spark.range(3), "x").inputFiles()[0]).path).parent
+        assert path.exists()
+    assert not path.exists()
+
+
 def test_large_carts_count_like_small_ones(spark):
     """A cart with a third of all lines: counting by halves equals listing the pairs."""
     hot = spark.range(300).select(F.lit(1).alias("cart_id"), F.col("id").alias("product_id"))
