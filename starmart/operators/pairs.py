@@ -52,14 +52,17 @@ def _halving(lines: DataFrame, largest: int) -> DataFrame:
     )
 
 
-def pair_counts(lines: DataFrame, direct_lines: int = DIRECT_LINES) -> DataFrame:
-    """lines(cart_id, product_id, title) -> product_a, product_b, carts_together, lower id first."""
-    sizes = lines.groupBy("cart_id").agg(F.count("*").alias("n")).filter(F.col("n") > direct_lines)
-    large = materialize(sizes, "large_carts")
-    largest = large.agg(F.max("n")).first()[0]
-    if largest is None:
+def pair_counts(lines: DataFrame, carts: DataFrame | None = None, direct_lines: int = DIRECT_LINES) -> DataFrame:
+    """lines(cart_id, product_id, title) -> product_a, product_b, carts_together, lower id first.
+
+    `carts` may give the lines' cart ids from a cheaper source, to count the cart sizes from.
+    """
+    sizes = (carts or lines).groupBy("cart_id").agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest <= direct_lines:
         return _direct(lines)
-    ids = large.select("cart_id")
+    # written, so that its size is known when the joins are planned
+    ids = materialize(sizes.filter(F.col("n") > direct_lines).select("cart_id"), "large_carts")
     both = _direct(lines.join(ids, "cart_id", "left_anti")).unionByName(
         _halving(lines.join(ids, "cart_id", "left_semi"), largest)
     )

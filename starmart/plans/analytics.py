@@ -10,10 +10,13 @@ from starmart.operators.position import tile, with_position
 from starmart.plans.aggregates import (
     Tables, all_revenue, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue,
 )
+from starmart.session import materialize
 
 # Recency limits in days.
 RECENCY = [(30, "active"), (90, "at risk")]
 
+ONE_TASK_ROWS = 100_000   # a counted result of up to this many rows may be ordered in one task
+
 
 def _month_names(t: Tables) -> DataFrame:
     """month (yyyymm, as stored on the fact) -> year_month; one row per calendar month."""
@@ -138,7 +141,7 @@ def price_tiers(t: Tables) -> DataFrame:
 def bought_together(t: Tables, n: int = 10) -> DataFrame:
     titles = t["dim_product"].select("product_key", "product_id", "title")
     lines = t["fact_sales"].select("cart_id", "product_key").join(titles, "product_key")
-    pairs = pair_counts(lines.select("cart_id", "product_id", "title"))
+    pairs = pair_counts(lines.select("cart_id", "product_id", "title"), t["fact_sales"].select("cart_id"))
     return pairs.orderBy(F.desc("carts_together"), "product_a", "product_b").limit(n)
 
 
@@ -177,10 +180,17 @@ def city_pareto(t: Tables) -> DataFrame:
     cities = per_customer(t).join(homes, "customer_key").groupBy("city").agg(
         F.count("*").alias("customers"), F.sum("revenue").alias("revenue")
     )
-    # cities are free text, so their number has no bound: positions and running sums per range
-    placed = with_position(cities, [F.desc("revenue"), F.col("city")], "at", running=("revenue", "so_far"))
-    ranks = placed.groupBy("revenue").agg(F.min("at").alias("city_rank"))
-    return placed.join(ranks, "revenue").select(
+    # cities are free text, so their number has no bound: count them before ordering them in one task
+    cities = materialize(cities, "cities")
+    if cities.count() <= ONE_TASK_ROWS:
+        down = Window.orderBy(F.desc("revenue"))
+        placed = cities.select(
+            "*", F.rank().over(down).alias("city_rank"),
+            F.sum("revenue").over(Window.orderBy(F.desc("revenue"), "city")).alias("so_far"))
+    else:
+        placed = with_position(cities, [F.desc("revenue"), F.col("city")], "at", running=("revenue", "so_far"))
+        placed = placed.join(placed.groupBy("revenue").agg(F.min("at").alias("city_rank")), "revenue")
+    return placed.select(
         "city_rank", "city", "customers", "revenue",
         percent(F.col("so_far"), all_revenue(t)).alias("cumulative_pct_of_revenue"),
     ).orderBy("city_rank", "city")

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.plans import job
+from starmart.plans import analytics, job
 from starmart.plans.analytics import QUERIES
 from starmart.plans.checks import QualityError
 from starmart.plans.warehouse import PublishConflict, Warehouse
@@ -113,6 +113,16 @@ def test_price_that_rounds_to_nothing_breaks_the_load(spark, shop, deliver, sett
     assert Warehouse(spark, settings.warehouse_root).manifest()["run_id"] is None
 
 
+def test_cities_in_ranges_equal_cities_in_one_task(spark, monkeypatch):
+    customers = spark.range(400).select(F.col("id").alias("customer_key"), F.concat(F.lit("c"), F.col("id") % 90).alias("city"))
+    fact = spark.range(3000).select((F.col("id") * 7 % 400).alias("customer_key"),
+                                    (F.col("id") % 13 + 1).cast("decimal(12,2)").alias("line_total"))
+    t = {"dim_customer": customers, "fact_sales": fact}
+    want = [tuple(r) for r in analytics.city_pareto(t).collect()]
+    monkeypatch.setattr(analytics, "ONE_TASK_ROWS", 0)
+    assert [tuple(r) for r in analytics.city_pareto(t).collect()] == want and len(want) == 90
+
+
 def test_publish_refuses_to_overtake(spark, settings):
     w = Warehouse(spark, settings.warehouse_root)
     m = w.manifest()
