@@ -15,10 +15,8 @@ BLOCK_TITLES = 1024
 def _direct(lines: DataFrame) -> DataFrame:
     a = lines.select("cart_id", F.col("product_id").alias("a_id"), F.col("title").alias("product_a"))
     b = lines.select("cart_id", F.col("product_id").alias("b_id"), F.col("title").alias("product_b"))
-    return (
-        a.join(b, "cart_id").filter(F.col("a_id") < F.col("b_id"))
-        .groupBy("product_a", "product_b").agg(F.count("*").alias("carts_together"))
-    )
+    pairs = a.join(b, "cart_id").filter(F.col("a_id") < F.col("b_id"))
+    return pairs.select("product_a", "product_b", F.lit(1).cast("bigint").alias("n"))
 
 
 def _halving(lines: DataFrame, largest: int) -> DataFrame:
@@ -40,16 +38,22 @@ def _halving(lines: DataFrame, largest: int) -> DataFrame:
         .groupBy("cart_id", "level", "node", "half", "title").agg(F.count("*").alias("n"))
     )
     halves = materialize(halves, "pair_halves")
-    # a half of level l holds up to 2^l lines: its left titles are dealt over blocks of about BLOCK_TITLES
+    # a half of level l holds up to 2^l lines; its titles are dealt over blocks of about BLOCK_TITLES,
+    # and each left block meets each right block as a join key of its own
     blocks = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("level")) / BLOCK_TITLES)).cast("int")
-    node = ["cart_id", "level", "node", "block"]
-    left = halves.filter("half = 0").withColumn("block", F.pmod(F.xxhash64("title"), blocks).cast("int"))
-    right = halves.filter("half = 1").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    own, other = F.pmod(F.xxhash64("title"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    node = ["cart_id", "level", "node", "left_block", "right_block"]
+    left = halves.filter("half = 0").withColumn("left_block", own).withColumn("right_block", other)
+    right = halves.filter("half = 1").withColumn("right_block", own).withColumn("left_block", other)
     left = left.select(*node, F.col("title").alias("product_a"), F.col("n").alias("n_a"))
     right = right.select(*node, F.col("title").alias("product_b"), F.col("n").alias("n_b"))
-    return left.join(right, node).groupBy("product_a", "product_b").agg(
-        F.sum(F.col("n_a") * F.col("n_b")).alias("carts_together")
-    )
+    # few bytes here become many rows behind the join: a fixed number keeps tasks from being merged
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.repartition(tasks, *node).join(right, node).select("product_a", "product_b", (F.col("n_a") * F.col("n_b")).alias("n"))
+
+
+def _added_up(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("product_a", "product_b").agg(F.sum("n").alias("carts_together"))
 
 
 def pair_counts(lines: DataFrame, carts: DataFrame | None = None, direct_lines: int = DIRECT_LINES) -> DataFrame:
@@ -60,10 +64,9 @@ def pair_counts(lines: DataFrame, carts: DataFrame | None = None, direct_lines:
     sizes = (carts or lines).groupBy("cart_id").agg(F.count("*").alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= direct_lines:
-        return _direct(lines)
+        return _added_up(_direct(lines))
     # written, so that its size is known when the joins are planned
     ids = materialize(sizes.filter(F.col("n") > direct_lines).select("cart_id"), "large_carts")
-    both = _direct(lines.join(ids, "cart_id", "left_anti")).unionByName(
+    return _added_up(_direct(lines.join(ids, "cart_id", "left_anti")).unionByName(
         _halving(lines.join(ids, "cart_id", "left_semi"), largest)
-    )
-    return both.groupBy("product_a", "product_b").agg(F.sum("carts_together").alias("carts_together"))
+    ))
