@@ -183,14 +183,12 @@ def after_load(spark: SparkSession, frames: Tables, t: Tables) -> DataFrame:
     ])
 
 
-def gate(results: DataFrame, message: str, fail_on_error: bool = True) -> list:
-    """Runs the checks once; a few dozen rows come back. `results` reach the caller with the error."""
-    rows = results.collect()
+def gate(found: DataFrame, message: str, results: list, fail_on_error: bool = True) -> None:
+    """Runs the checks and keeps their results, a few dozen rows; a failed one stops the run."""
+    rows = found.collect()
+    results.extend(rows)
     if fail_on_error and any(r["status"] == FAIL for r in rows):
-        error = QualityError(message)
-        error.results = rows
-        raise error
-    return rows
+        raise QualityError(message)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ nobody refers to; the manifest still names the previous state of all tables.
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -114,9 +114,10 @@ class Warehouse:
         return states.groupBy("run_id").agg(latest.alias("r")).select("r.*")
 
     def watermarks(self) -> DataFrame:
-        """entity, watermark_value, run_id: one row per entity."""
-        rows = [(e, date.fromisoformat(w["value"]), w["run_id"]) for e, w in self.manifest()["watermarks"].items()]
-        return self.spark.createDataFrame(rows, "entity STRING, watermark_value DATE, run_id STRING")
+        """entity, watermark_value, run_id, updated_at: one row per entity."""
+        rows = [(e, date.fromisoformat(w["value"]), w["run_id"], datetime.fromisoformat(w["updated_at"]))
+                for e, w in self.manifest()["watermarks"].items()]
+        return self.spark.createDataFrame(rows, "entity STRING, watermark_value DATE, run_id STRING, updated_at TIMESTAMP")
 
     def watermark(self, entity: str = "fact_sales") -> str | None:
         return self.manifest()["watermarks"].get(entity, {}).get("value")

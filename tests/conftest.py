@@ -14,7 +14,8 @@ from starmart.session import configure  # noqa: E402
 def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]").appName("starmart-tests")
-        .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")   # small deliveries need few tasks
         .config("spark.driver.memory", os.environ.get("TEST_MEMORY", "8g"))
         .config("spark.ui.showConsoleProgress", "false")
     )

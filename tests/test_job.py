@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -12,6 +13,7 @@ from starmart.plans import analytics, job
 from starmart.plans.analytics import QUERIES
 from starmart.plans.checks import QualityError
 from starmart.plans.warehouse import PublishConflict, Warehouse
+from starmart.sources import zones
 
 
 @pytest.fixture
@@ -25,7 +27,7 @@ def counts(t):
 
 
 def test_first_run(spark, shop, deliver, settings):
-    out = job.run(spark, settings, deliver(shop), run_id="r1")
+    out = job.run(spark, settings, deliver(shop), run_id="r1", today=date.today())
     w = Warehouse(spark, settings.warehouse_root)
     t = w.tables()
     assert out.status == "SUCCESS" and out.quality == {"PASS": 42, "WARN": 0, "FAIL": 0}
@@ -40,6 +42,8 @@ def test_first_run(spark, shop, deliver, settings):
         assert query(t).count() > 0, name
     health = QUERIES["q15_run_health"](t).first()
     assert (health["run_id"], health["carts_extracted"], health["cart_items_rejected"], health["dq_pass"]) == ("r1", 3, 0, 42)
+    envelope = zones.raw_envelopes(spark, settings.zones_root, "users", date.today()).first()
+    assert (envelope["run_id"], envelope["source"], envelope["record_count"]) == ("r1", "users", 2)
     raw = spark.read.json(f"{settings.zones_root}/raw/users")
     assert raw.count() == 2 and raw.filter(F.col("rec").contains("password")).count() == 0
 
@@ -106,6 +110,15 @@ def test_failed_gate_publishes_nothing(spark, shop, deliver, settings):
     assert w.manifest()["run_id"] == "r2" and w.tables()["fact_sales"].count() == 5
 
 
+def test_failed_checks_may_be_let_through(spark, shop, deliver, settings):
+    for p in shop["products"]:
+        p["price"] = -1
+    out = job.run(spark, replace(settings, fail_on_quality_error=False), deliver(shop), run_id="r1")
+    assert out.status == "SUCCESS" and out.quality["FAIL"] == 2
+    t = Warehouse(spark, settings.warehouse_root).tables()
+    assert t["fact_sales"].count() == t["dim_product"].count() == 0 and t["dim_customer"].count() == 2
+
+
 def test_price_that_rounds_to_nothing_breaks_the_load(spark, shop, deliver, settings):
     shop["products"][0]["price"] = 0.004
     with pytest.raises(Exception, match="price > 0"):
