@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontaminate, licenses, mixing, urlfilter
+from starmart.llm import decontaminate, licenses, mixing, quality, toxicity, urlfilter
 from starmart.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.report(table(spark, d, "documents"))
 
 
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.report(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op6_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(table(spark, d, "documents"))
 
@@ -24,6 +28,10 @@ def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urlfilter.judge(table(spark, d, "pages"))
 
 
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter)}
+    op2_license_scan, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op10_toxicity)}
 ORACLES: dict[str, str] = {}
