@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontaminate, licenses, mixing, quality, toxicity, urlfilter
+from starmart.llm import decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
 from starmart.llm.common import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.report(table(spark, d, "documents"), jaccard.Rule(k=3, num=90, den=100))
+
+
 def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.report(table(spark, d, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return lines.report(table(spark, d, "documents"))
+
+
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -33,5 +41,5 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op10_toxicity)}
+    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op10_toxicity)}
 ORACLES: dict[str, str] = {}
