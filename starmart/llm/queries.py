@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
+from starmart.llm import chunks, decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
 from starmart.llm.common import table
 
 
@@ -36,10 +36,14 @@ def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urlfilter.judge(table(spark, d, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.report(table(spark, d, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op10_toxicity)}
+    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity)}
 ORACLES: dict[str, str] = {}
