@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.session import configure
 
-BATCH_ROWS = 512   # rows per Arrow batch, so that a batch of very long texts stays small
+# Arrow batches for Python workers: few rows, and a bound on bytes for tables with very long texts.
+BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starmart.llm.common import text_key
 from starmart.llm.words import BASE, LETTERS, Words, mix, slices
 from starmart.session import materialize
 
@@ -164,3 +165,14 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         F.col("hit").isNotNull().alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents without any hit, with the columns they had."""
+    names = docs.columns
+    key = [docs["doc_id"].alias("doc_id"), docs["text"].alias("text")]
+    whole = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("row"), *key, text_key(docs["text"]).alias("k"))
+    hit = materialize(find(docs.select(*key), benchmark, window).where("hit is not null")
+                      .select(F.col("doc_id").alias("d"), text_key(F.col("text")).alias("t")).distinct(), "contaminated")
+    return whole.join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("t")), "left_anti").select(
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import chunks, decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
+from starmart.llm import chunks, covertree, decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
 from starmart.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return lines.report(table(spark, d, "documents"))
 
 
+def op4_embedding_neardup(spark: SparkSession, d: str) -> DataFrame:
+    return covertree.report(table(spark, d, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -45,5 +49,5 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity)}
+    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op4_embedding_neardup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -9,7 +9,6 @@ a code with a chance of about 2**-64 per pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +36,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
-@lru_cache(maxsize=2)
+_kept_powers: dict[tuple[int, int], np.ndarray] = {}
+
+
 def _powers(n: int, of: int) -> np.ndarray:
-    return np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, of, np.uint64))))
+    if n > 2 * SLICE_BYTES:                       # a single long text: not kept
+        return np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, of, np.uint64))))
+    if (n, of) not in _kept_powers:
+        _kept_powers[n, of] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, of, np.uint64))))
+    return _kept_powers[n, of]
 
 
 def _room(n: int) -> int:
