@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import chunks, covertree, decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
 from starmart.llm.common import table
+from starmart.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
@@ -50,4 +51,4 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op4_embedding_neardup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+
