@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checkbook.fixture import COPIES, LINE_ORDER, LINES_PER_CART, record
+from checkbook.fixture import COPIES, LINE_ORDER, record
 from starmart.operators import star, validate
 from starmart.operators.position import with_position
 from starmart.plans import job
@@ -53,8 +53,7 @@ def cart_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = placed.groupBy("l_orderkey").agg(F.min("at").alias("start"))
     at = F.col("at") - F.col("start")
     return placed.join(starts, "l_orderkey").select(
-        F.col("l_orderkey").alias("k"), "l_partkey", "l_quantity",
-        F.floor(at / LINES_PER_CART).alias("ch"), (at % LINES_PER_CART).alias("n"),
+        F.col("l_orderkey").alias("k"), "l_partkey", "l_quantity", at.alias("n"),
     )
 
 
@@ -64,18 +63,18 @@ def deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     parts = with_copies(table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey")), "products")
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     people = table(spark, sf_dir, "customer").join(nations, "c_nationkey").withColumn("k", F.col("c_custkey"))
-    lines = cart_lines(spark, sf_dir).select("k", "ch", "n", F.expr(record("cart_items")).alias("line"))
-    # at most LINES_PER_CART lines come together here
-    texts = lines.groupBy("k", "ch").agg(
+    lines = cart_lines(spark, sf_dir).select("k", "n", F.expr(record("cart_items")).alias("line"))
+    # a cart is one record with all its lines, as the source delivers it, so one order's lines come together
+    texts = lines.groupBy("k").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), ",")
         .alias("line_texts")
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderdate")
-    carts = orders.join(texts, "k", "left").withColumn("ch", F.coalesce("ch", F.lit(0)))
+    carts = orders.join(texts, "k", "left")
     out = {
         "products": parts.withColumn("pos", F.col("k") * 2 + F.col("c")),
         "users": with_copies(people, "users").withColumn("pos", F.col("k") * 2 + F.col("c")),
-        "carts": with_copies(carts, "carts").withColumn("pos", (F.col("k") * (1 << 20) + F.col("ch")) * 2 + F.col("c")),
+        "carts": with_copies(carts, "carts").withColumn("pos", F.col("k") * 2 + F.col("c")),
     }
     return {e: materialize(df.select("pos", F.expr(record(e)).alias("rec")), f"{e}_delivery") for e, df in out.items()}
 

@@ -30,7 +30,7 @@ def build_products(valid: DataFrame) -> DataFrame:
         price.alias("price"),
         price_tier(price).alias("price_tier"),
         rate.cast("decimal(3,2)").alias("rating_rate"),
-        F.col("rating_count").try_cast("int").alias("rating_count"),
+        F.col("rating_count").cast("bigint").alias("rating_count"),
         rating_band(rate).alias("rating_band"),
     )
     return conform(out, FRAMES["dim_product"])

@@ -41,7 +41,7 @@ FRAMES = {
     "dim_product": _struct(
         "product_id BIGINT, title STRING, category STRING, category_display STRING, description STRING, "
         "image_url STRING, price DECIMAL(10,2), price_tier STRING, rating_rate DECIMAL(3,2), "
-        "rating_count INT, rating_band STRING"
+        "rating_count BIGINT, rating_band STRING"
     ),
     "fact_sales": _struct(
         "cart_id BIGINT, customer_id BIGINT, product_id BIGINT, date_key INT, order_date DATE, "

@@ -86,6 +86,17 @@ def test_redaction_is_top_level_and_exact(spark):
     assert got[1:] == ['"password"', '{"n": 1.5}', '{"n": 1.50}']
 
 
+def test_unreadable_records_keep_no_text(spark):
+    got = src.redact(records(spark, ['{"id":1,"password":"hunter2"', "hunter2"])).collect()
+    assert all("hunter2" not in r["rec"] and json.loads(r["rec"]).startswith("unreadable: ") for r in got)
+    assert got[0]["rec"] != got[1]["rec"]
+
+
+def test_undated_carts_are_kept(spark):
+    rows = records(spark, [{"date": "2020-03-09"}, {"date": "2020-03-01"}, {"date": "yesterday"}, {"id": 1}, '"junk"', {"date": "2031-01-01"}])
+    assert sorted(r["pos"] for r in src.carts_since(rows, date(2020, 3, 9), date(2020, 3, 10)).collect()) == [0, 2, 3, 4]
+
+
 def test_json_lines_keep_their_order(spark, tmp_path):
     for f in range(3):
         (tmp_path / f"part-{f}.json").write_text("\n".join(json.dumps({"id": f * 100 + i}) for i in range(50)) + "\n\n")
