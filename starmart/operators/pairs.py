@@ -19,17 +19,18 @@ def _direct(lines: DataFrame) -> DataFrame:
     return pairs.select("product_a", "product_b", F.lit(1).cast("bigint").alias("n"))
 
 
-def _halving(lines: DataFrame, largest: int) -> DataFrame:
+def _halving(lines: DataFrame) -> DataFrame:
     """Pair counts of large carts from title counts of sibling halves.
 
     Ranked by product id, any two lines of a cart part company at exactly one level of a
     binary split: the lower id in the left half, the higher one in the right half. Per level
     only the halves' title counts are multiplied, so a cart of n lines and t titles costs
     n log n counted rows plus at most t * t products per level, whatever n is.
+    A cart has as many levels as its own size needs.
     """
     placed = with_position(lines, [F.col("cart_id"), F.col("product_id")], "at")
-    starts = placed.groupBy("cart_id").agg(F.min("at").alias("start"))
-    levels = F.explode(F.sequence(F.lit(0), F.lit(largest.bit_length() - 1))).alias("level")
+    starts = placed.groupBy("cart_id").agg(F.min("at").alias("start"), F.count("*").alias("size"))
+    levels = F.explode(F.sequence(F.lit(0), F.length(F.bin("size")) - 1)).alias("level")
     rank = F.col("at") - F.col("start")
     halves = (
         placed.join(starts, "cart_id").select("cart_id", "title", rank.alias("rank"), levels)
@@ -68,5 +69,5 @@ def pair_counts(lines: DataFrame, carts: DataFrame | None = None, direct_lines:
     # written, so that its size is known when the joins are planned
     ids = materialize(sizes.filter(F.col("n") > direct_lines).select("cart_id"), "large_carts")
     return _added_up(_direct(lines.join(ids, "cart_id", "left_anti")).unionByName(
-        _halving(lines.join(ids, "cart_id", "left_semi"), largest)
+        _halving(lines.join(ids, "cart_id", "left_semi"))
     ))

@@ -8,15 +8,12 @@ from starmart.functions.values import key_to_date
 from starmart.operators.pairs import pair_counts
 from starmart.operators.position import tile, with_position
 from starmart.plans.aggregates import (
-    Tables, all_revenue, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue,
+    Tables, all_revenue, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue, units,
 )
-from starmart.session import materialize
 
 # Recency limits in days.
 RECENCY = [(30, "active"), (90, "at risk")]
 
-ONE_TASK_ROWS = 100_000   # a counted result of up to this many rows may be ordered in one task
-
 
 def _month_names(t: Tables) -> DataFrame:
     """month (yyyymm, as stored on the fact) -> year_month; one row per calendar month."""
@@ -33,8 +30,12 @@ def monthly_growth(t: Tables) -> DataFrame:
 
 
 def top_customers(t: Tables, n: int = 10) -> DataFrame:
-    """Ranks only the n rows kept: no row outside them can come before one of them."""
-    spend = per_customer(t)
+    """Ranks only the n rows kept: no row outside them can come before one of them.
+
+    Only customers that spend as much as the n-th one, ties included, meet the dimension.
+    """
+    least = per_customer(t).orderBy(F.desc("revenue")).limit(n).agg(F.min("revenue")).scalar()
+    spend = per_customer(t).filter(F.col("revenue") >= least)
     names = t["dim_customer"].select("customer_key", "customer_id", "full_name", "city")
     top = spend.join(names, "customer_key").orderBy(F.desc("revenue"), "customer_id").limit(n)
     # the share comes after the rank: a projection right above the limit would be pushed below it
@@ -54,9 +55,10 @@ def category_mix(t: Tables) -> DataFrame:
 
 
 def top_products_per_category(t: Tables, n: int = 3) -> DataFrame:
-    titles = per_product(t).groupBy(F.col("category_display").alias("category"), "title").agg(
-        F.sum("revenue").alias("revenue"), F.sum("units_sold").alias("units_sold")
-    )
+    # products share titles: joined first, all lines of a title are folded before one exchange
+    products = t["dim_product"].select("product_key", F.col("category_display").alias("category"), "title")
+    titles = t["fact_sales"].select("product_key", "line_total", "quantity").join(products, "product_key").groupBy(
+        "category", "title").agg(revenue(), units())
     # the rank filter becomes a per-partition limit before the exchange
     best = Window.partitionBy("category").orderBy(F.desc("revenue"), "title")
     return (
@@ -67,7 +69,8 @@ def top_products_per_category(t: Tables, n: int = 3) -> DataFrame:
 
 
 def running_revenue(t: Tables) -> DataFrame:
-    days = t["fact_sales"].groupBy("date_key").agg(F.sum("line_total").alias("daily_revenue"))
+    # kept in step with the fact by the same publication, at one row per day
+    days = t["agg_daily_sales"].select("date_key", F.col("revenue").alias("daily_revenue"))
     days = days.join(t["dim_date"].select("date_key", "full_date"), "date_key")
     so_far = Window.orderBy("full_date")   # one row per calendar day
     week = so_far.rowsBetween(-6, 0)
@@ -180,16 +183,9 @@ def city_pareto(t: Tables) -> DataFrame:
     cities = per_customer(t).join(homes, "customer_key").groupBy("city").agg(
         F.count("*").alias("customers"), F.sum("revenue").alias("revenue")
     )
-    # cities are free text, so their number has no bound: count them before ordering them in one task
-    cities = materialize(cities, "cities")
-    if cities.count() <= ONE_TASK_ROWS:
-        down = Window.orderBy(F.desc("revenue"))
-        placed = cities.select(
-            "*", F.rank().over(down).alias("city_rank"),
-            F.sum("revenue").over(Window.orderBy(F.desc("revenue"), "city")).alias("so_far"))
-    else:
-        placed = with_position(cities, [F.desc("revenue"), F.col("city")], "at", running=("revenue", "so_far"))
-        placed = placed.join(placed.groupBy("revenue").agg(F.min("at").alias("city_rank")), "revenue")
+    # cities are free text, so their number has no bound and no single task orders them
+    placed = with_position(cities, [F.desc("revenue"), F.col("city")], "at", running=("revenue", "so_far"))
+    placed = placed.join(placed.groupBy("revenue").agg(F.min("at").alias("city_rank")), "revenue")
     return placed.select(
         "city_rank", "city", "customers", "revenue",
         percent(F.col("so_far"), all_revenue(t)).alias("cumulative_pct_of_revenue"),
