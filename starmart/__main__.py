@@ -29,8 +29,8 @@ def main() -> None:
         zones_root=a.zones, warehouse_root=a.warehouse, lookback_days=a.lookback_days, max_reject_ratio=a.max_reject_ratio,
         fail_on_quality_error=not a.keep_going, processed_form="csv" if a.csv else "parquet",
     )
-    summary = job.run(spark, settings, {e: read(spark, getattr(a, e)) for e in job.ENTITIES}, full_refresh=a.full_refresh or None)
-    print(summary)
+    outcome = job.run(spark, settings, {e: read(spark, getattr(a, e)) for e in job.ENTITIES}, full_refresh=a.full_refresh or None)
+    print(outcome)
 
 
 if __name__ == "__main__":

@@ -76,7 +76,7 @@ def row_rules(t: Tables, wanted: tuple[str, ...] = ("not null", "check", "length
     out = []
     for name in NOT_NULL:
         rules = _row_rules(name, wanted)
-        if rules:
+        if rules and name in t:
             counts = t[name].agg(*[F.count_if(test).alias(f"v{i}") for i, (_, _, test) in enumerate(rules)])
             out.append(_label(counts, name, [(rule, subject) for rule, subject, _ in rules]))
     return union_all(out)
@@ -85,15 +85,24 @@ def row_rules(t: Tables, wanted: tuple[str, ...] = ("not null", "check", "length
 def unique(t: Tables) -> DataFrame:
     out = []
     for name, sets in UNIQUE.items():
-        for columns in sets:
+        for columns in sets if name in t else []:
             surplus = t[name].groupBy(*columns).agg(F.count("*").alias("n")).agg(F.sum(F.col("n") - 1).alias("v0"))
             out.append(_label(surplus, name, [("unique", "+".join(columns))]))
     return union_all(out)
 
 
-def references(t: Tables) -> DataFrame:
+def references(t: Tables, parents: Tables | None = None) -> DataFrame:
     return union_all([
-        _label(orphan_rows(t[table], column, t[parent], column).withColumnRenamed("orphans", "v0"),
+        _label(orphan_rows(t[table], column, (parents or t)[parent], column).withColumnRenamed("orphans", "v0"),
                table, [(f"references {parent}", column)])
-        for table, column, parent in REFERENCES
+        for table, column, parent in REFERENCES if table in t
     ])
+
+
+def broken(written: Tables, tables: Tables) -> list[str]:
+    """Every rule that the rows written by a run break; `tables` is the state they belong to."""
+    if not written:
+        return []
+    parts = [row_rules(written), unique(written)] + ([references(written, tables)] if any(r[0] in written for r in REFERENCES) else [])
+    rows = union_all(parts).filter(F.col("violations") > 0).collect()
+    return [f"{r['table_name']}: {r['rule']} {r['subject']} broken {r['violations']} times" for r in rows]

@@ -1,14 +1,17 @@
-"""Published tables: data folders per run, one manifest naming the current ones, swapped by rename.
+"""Published tables: data folders per run, and numbered manifests that name the current ones.
 
-Readers resolve the manifest once and then read plain Parquet. A run that fails leaves folders
-nobody refers to; the manifest still names the previous state of all tables.
+A manifest is never changed or replaced. Publishing writes the next number, which only one writer can: the file is
+complete before a rename, which fails if the number is taken, gives it its name. Readers take the highest
+number once and then read plain Parquet. A run that fails leaves folders nobody refers to.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.operators.position import with_position
@@ -23,6 +26,10 @@ class PublishConflict(RuntimeError):
     pass
 
 
+class ManifestLost(RuntimeError):
+    pass
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -40,24 +47,45 @@ class Warehouse:
 
     def manifest(self) -> dict:
         """run_id, whole tables -> folder, fact months -> folder, last keys, watermarks; empty at first."""
-        path = f"{self.root}/CURRENT"
-        if not self.exists(path):
-            return {"run_id": None, "tables": {}, "months": {}, "last_keys": {}, "watermarks": {}}
-        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
-
-    def publish(self, manifest: dict, replaces: str | None) -> None:
-        """Makes the new manifest current in one rename, if nobody else has published since."""
-        current = self.manifest()["run_id"]
-        if current != replaces:
-            raise PublishConflict(f"expected {replaces} to be current, found {current}")
-        temp, final = self._path(f"{self.root}/CURRENT.{manifest['run_id']}"), self._path(f"{self.root}/CURRENT")
-        out = temp.getFileSystem(self._conf).create(temp, True)
-        out.write(bytearray(json.dumps(manifest, indent=1).encode()))
+        folder = self._path(f"{self.root}/manifests")
+        files = folder.getFileSystem(self._conf).globStatus(self._path(f"{self.root}/manifests/*.json"))
+        names = sorted(f.getPath().getName() for f in files or [])
+        if names:
+            return json.loads(self.spark.read.text(f"{self.root}/manifests/{names[-1]}", wholetext=True).first()[0])
+        if self.exists(f"{self.root}/data"):
+            raise ManifestLost(f"{self.root} holds data, but no manifest says which of it is current")
+        return {"version": 0, "run_id": None, "tables": {}, "months": {}, "last_keys": {}, "watermarks": {}}
+
+    def begin(self) -> dict:
+        """The current manifest; an empty warehouse gets its first one before any data is written."""
+        current = self.manifest()
+        if current["version"]:
+            return current
+        try:
+            self.publish(current)
+        except PublishConflict:   # another writer was first
+            pass
+        return self.manifest()
+
+    def publish(self, manifest: dict) -> None:
+        """Makes the manifest, which was made from the current one, the next one; fails if there is a next one already."""
+        version = manifest["version"] + 1
+        name = f"{self.root}/manifests/{version:010d}.json"
+        temp, final = self._path(f"{name}.{uuid.uuid4().hex}"), self._path(name)
+        store = temp.getFileSystem(self._conf)
+        out = store.create(temp, False)
+        out.write(bytearray(json.dumps(manifest | {"version": version}, indent=1).encode()))
         out.close()
         fs = self._jvm.org.apache.hadoop.fs
         options = self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
-        options[0] = fs.Options.Rename.OVERWRITE
-        fs.FileContext.getFileContext(final.toUri(), self._conf).rename(temp, final, options)
+        options[0] = fs.Options.Rename.NONE
+        try:
+            fs.FileContext.getFileContext(final.toUri(), self._conf).rename(temp, final, options)
+        except Py4JJavaError as e:
+            store.delete(temp, False)
+            if "FileAlreadyExistsException" in str(e.java_exception.getClass()):
+                raise PublishConflict(f"version {version} has been published by another run") from None
+            raise
 
     # ---- reading
 
