@@ -11,10 +11,11 @@ then sets with the same prefix and size one group. Groups that meet on a prefix
 filtered by size and by the place of that shingle, and only then expanded to members, which are filtered by
 the parity of their shingles' bits and verified on the full sets.
 
-What is asked for are components, so two sets that are connected already need no test. ROUNDS rounds
-link every set with one well-placed partner per list of a shingle, as many tests as sets; a last round
-then tests every remaining pair of different components. Large groups of near copies thus cost rows in
-proportion to their size, and no link between components is lost.
+A shingle's list of at most SHORT groups gives all its pairs. In longer lists, what is asked for helps: components, so
+two sets that are connected already need no test. ROUNDS rounds pair every set with one well-placed
+partner per list, as many pairs as sets; taken for links, these leave few pairs between different components. The sets of all those pairs are read once and verified. A
+last round then tests every pair that is left between components of verified links. Large groups of near
+copies thus cost rows in proportion to their size, and no link between components is lost.
 
 Repeated rows (same doc_id and text) count as one document. A null doc_id comes after all others where
 the smallest is wanted. Extra columns are ignored or, in `one_of_each`, kept. An empty table gives an empty result.
@@ -36,7 +37,9 @@ from starmart.session import materialize
 
 LEVEL_BITS = 20
 ROUNDS = 2
-PARITY = 4               # long columns of 64 parity bits each
+PARITY = 16              # long columns of 64 parity bits each
+EARLY = 4                # of these, the ones that postings carry
+SHORT = 16
 
 
 @dataclass(frozen=True)
@@ -55,7 +58,7 @@ class Rule:
         return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
 
     def band(self, n: str) -> Column:
-        """Sizes that can be linked differ by one band at most."""
+        """Bands of sizes that can be linked with each other."""
         return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(self.den / self.num * 1.0001))).cast("int")
 
 
@@ -128,123 +131,158 @@ class Join:
         self.docs, self.rule = docs, rule
         self.rows = materialize(signatures(docs, rule), "jaccard_rows")
         parity = [f"s{j}" for j in range(PARITY)]
-        one = self.rows.where("n > 0").groupBy("sk").agg(
-            F.first(F.struct("gk", "n", "prefix", *parity)).alias("v"),
-            F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk")).alias("place"))
-        sets = materialize(one.select("sk", "v.*", "place"), "jaccard_sets")
-        groups = sets.groupBy("gk", "n", "prefix").agg(F.count("*").alias("members"))
-        posted = groups.select("gk", "n", F.posexplode("prefix").alias("at", "token"))
-        several = posted.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-        self.posted = materialize(posted.join(several, "token"), "jaccard_posted")
-        busy = self.posted.select("gk").unionByName(groups.where("members > 1").select("gk")).distinct()
-        self.members = materialize(sets.drop("prefix").join(busy, "gk"), "jaccard_members")
-        self.tokens = materialize(self._tokens(), "jaccard_tokens")
-        self.links = None
-
-    def _tokens(self) -> DataFrame:
-        """sk, tokens: the whole set of every member that may have a partner."""
-        k = self.rule.k
-        wanted = self.members.select("sk", F.col("place.doc_id").alias("d"), F.col("place.tk").alias("t"))
-        texts = self.docs.select("doc_id", "text", text_key(F.col("text")).alias("tk")).join(
-            wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("t"))).select("sk", "text")
-
-        def run(batches):
-            for batch in slices(batches):
-                codes, first = _sets(batch.column("text"), k)
-                yield pa.RecordBatch.from_arrays([batch.column("sk"), pa.ListArray.from_arrays(
-                    pa.array(first, pa.int32()), pa.array(codes.view(np.int64), pa.int64()))], ["sk", "tokens"])
-
-        return texts.mapInArrow(run, "sk binary, tokens array<long>").dropDuplicates(["sk"])
+        some = self.rows.where("n > 0")
+        self.sets = materialize(some.groupBy("sk").agg(
+            F.first(F.struct("gk", "n", *parity)).alias("v"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk")).alias("place")).select("sk", "v.*", "place"), "jaccard_sets")
+        posted = some.groupBy("gk", "n").agg(F.first("prefix").alias("prefix")).select("gk", "n", F.posexplode("prefix").alias("at", "token"))
+        several = posted.groupBy("token").agg(F.count("*").cast("int").alias("groups")).where("groups > 1")
+        posted = materialize(posted.join(several, "token").select("token", "gk", "n", "at", "groups"), "jaccard_posted")
+        # a group of several sets has no parity of its own
+        alone = self.sets.groupBy("gk").agg(F.count("*").alias("members"), *[F.first(f"s{j}").alias(f"s{j}") for j in range(EARLY)])
+        self.several = materialize(self.sets.join(alone.where("members > 1").select("gk"), "gk"), "jaccard_several")
+        self.posted = materialize(posted.join(alone.select("gk", *[F.when(F.col("members") == 1, F.col(f"s{j}")).alias(f"s{j}") for j in range(EARLY)]), "gk"),
+                                  "jaccard_lists")
+        self.long = self.posted.where(F.col("groups") > SHORT)
+
+    def labels(self, links: DataFrame | None) -> DataFrame:
+        """sk, comp, size of the sets that have links; all others are components of their own."""
+        if links is None:
+            return None
+        roots = components(links.select("a", "b"))
+        sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+        return materialize(roots.join(sizes, "root").select(F.col("id").alias("sk"), F.col("root").alias("comp"), "size"), "jaccard_labels")
+
+    def members(self, labels: DataFrame | None, sets: DataFrame | None = None) -> DataFrame:
+        sets = self.sets if sets is None else sets
+        if labels is None:
+            return sets.withColumn("comp", F.col("sk"))
+        return sets.join(labels.select("sk", F.col("comp").alias("c")), "sk", "left").withColumn("comp", F.coalesce("c", "sk")).drop("c")
+
+    def lists(self, labels: DataFrame | None) -> DataFrame:
+        """Postings with a label of their group: of its component, or its own where it stands alone or in several."""
+        if labels is None:
+            return self.long.withColumn("label", F.col("gk")).withColumn("size", F.lit(1).cast("long"))
+        marked = (self.sets.select("sk", "gk").join(labels, "sk", "left").groupBy("gk")
+                  .agg(F.min(F.coalesce("comp", "sk")).alias("lo"), F.max(F.coalesce("comp", "sk")).alias("hi"), F.max("size").alias("size"))
+                  .where("size is not null and lo = hi").select("gk", F.xxhash64("lo").alias("label"), "size"))
+        return self.long.join(marked, "gk", "left").withColumn("label", F.coalesce("label", "gk")).withColumn("size", F.coalesce("size", F.lit(1)))
+
+    def mixed_groups(self, labels: DataFrame | None) -> DataFrame:
+        several = self.members(labels, self.several).groupBy("gk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        return several.select(F.col("gk").alias("ga"), F.col("gk").alias("gb"))
 
-    def labelled(self) -> DataFrame:
-        """The members with the component they are in so far."""
-        if self.links is None:
-            return self.members.withColumn("comp", F.col("sk"))
-        roots = components(self.links)
-        return self.members.join(roots.withColumnRenamed("id", "sk"), "sk", "left").withColumn(
-            "comp", F.coalesce("root", "sk")).drop("root")
+    def met(self, x: str, y: str) -> Column:
+        """Two postings of one shingle allow for a link: by size, by the shingles left from this one on, by early parity."""
+        left = F.least(F.col(f"{x}.n") - F.col(f"{x}.at"), F.col(f"{y}.n") - F.col(f"{y}.at"))
+        need = self.rule.overlap(f"{x}.n", f"{y}.n")
+        differ = self.differ(x, y, EARLY)
+        return self.rule.sized(f"{x}.n", f"{y}.n") & (left >= need) & (
+            differ.isNull() | (differ <= F.col(f"{x}.n") + F.col(f"{y}.n") - 2 * need))
+
+    def differ(self, x: str, y: str, columns: int) -> Column:
+        """At most the number of shingles that only one of the two has."""
+        out = F.lit(0)
+        for j in range(columns):
+            out = out + F.bit_count(F.col(f"{x}.s{j}").bitwiseXOR(F.col(f"{y}.s{j}")))
+        return out
+
+    def pairs(self, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Pairs of groups ga, gb (each once) to pairs of their members."""
+        members = self.members(labels)
+        both = groups.join(members.alias("a"), F.col("ga") == F.col("a.gk")).join(members.alias("b"), F.col("gb") == F.col("b.gk"))
+        return self.apart(both.where((F.col("ga") != F.col("gb")) | (F.col("a.sk") < F.col("b.sk"))))
+
+    def short(self) -> DataFrame:
+        """All pairs from short lists that the filters let through."""
+        lists = self.posted.where(F.col("groups") <= SHORT).select("token", "gk", "n", "at", *[f"s{j}" for j in range(EARLY)])
+        x, y = lists.alias("x"), lists.alias("y")
+        groups = x.join(y, F.col("x.token") == F.col("y.token")).where((F.col("x.gk") < F.col("y.gk")) & self.met("x", "y"))
+        groups = groups.select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).distinct()
+        return materialize(self.pairs(groups, None).select("a", "b", "an", "bn"), "jaccard_short")
 
     def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of members a, b that are in different components and whose parities allow a link."""
-        differ = F.lit(0)
-        for j in range(PARITY):
-            differ = differ + F.bit_count(F.col(f"a.s{j}").bitwiseXOR(F.col(f"b.s{j}")))
+        """a, b, an, bn, differ of the pairs of members that are in different components and whose parities allow a link."""
         most = F.col("a.n") + F.col("b.n") - 2 * self.rule.overlap("a.n", "b.n")
         return (pairs.where(F.col("a.comp") != F.col("b.comp")).where(self.rule.sized("a.n", "b.n"))
                 .select(F.col("a.sk").alias("a"), F.col("b.sk").alias("b"), F.col("a.n").alias("an"), F.col("b.n").alias("bn"),
-                        differ.alias("differ"), most.alias("most")).where("differ <= most"))
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones among pairs a, b, an, bn."""
-        t = self.tokens
-        sides = (pairs.join(t.select(F.col("sk").alias("a"), F.col("tokens").alias("ta")), "a")
-                 .join(t.select(F.col("sk").alias("b"), F.col("tokens").alias("tb")), "b"))
-        return sides.where(F.size(F.array_intersect("ta", "tb")) >= self.rule.overlap("an", "bn")).select("a", "b")
-
-    def met(self, x: str, y: str) -> Column:
-        """Two postings of one shingle allow for a link: by size, and by the shingles left after this one."""
-        left = F.least(F.col(f"{x}.n") - F.col(f"{x}.at"), F.col(f"{y}.n") - F.col(f"{y}.at"))
-        return self.rule.sized(f"{x}.n", f"{y}.n") & (left >= self.rule.overlap(f"{x}.n", f"{y}.n"))
-
-    def lists(self, members: DataFrame) -> DataFrame:
-        """Postings with their group's component; a group in several has a label of its own."""
-        label = members.groupBy("gk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).select(
-            "gk", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("gk").cast("string").cast("binary")).alias("label"))
-        return self.posted.join(label, "gk").withColumn("band", self.rule.band("n"))
-
-    def mixed_groups(self, members: DataFrame) -> DataFrame:
-        several = members.groupBy("gk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        return several.select(F.col("gk").alias("ga"), F.col("gk").alias("gb"))
-
-    def near(self, number: int) -> DataFrame:
-        """Links of every member with the closest of the pivots of its lists: one pivot per shingle and band of sizes."""
-        members = materialize(self.labelled(), "jaccard_labels")
-        lists = materialize(self.lists(members), "jaccard_lists")
-        order = F.xxhash64(F.lit(number), "token", "gk")
+                        self.differ("a", "b", PARITY).alias("differ"), most.alias("most")).where("differ <= most").drop("most"))
+
+    def near(self, number: int, labels: DataFrame | None) -> DataFrame:
+        """Every set with the closest of the pivots of its lists: one pivot per shingle and band of sizes."""
+        lists = self.lists(labels)
+        if labels is not None:                    # what stands alone has had its turn
+            lists = lists.where("size > 1")
+        lists = lists.withColumn("band", self.rule.band("n"))
         pivots = lists.groupBy("token", "band").agg(
-            F.max_by(F.struct("gk", "n", "at", "label"), order).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        pivots = pivots.where("lo <> hi").select("token", "band", "p.*").alias("y")
+            F.max_by(F.struct("gk", "n", "at", "label", *[f"s{j}" for j in range(EARLY)]), F.xxhash64(F.lit(number), "token", "gk")).alias("p"),
+            F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "band", "p.*").alias("y")
         groups = (lists.alias("x").join(pivots, ["token", "band"]).where((F.col("x.label") != F.col("y.label")) & self.met("x", "y"))
-                  .select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).unionByName(self.mixed_groups(members)).distinct())
+                  .select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).unionByName(self.mixed_groups(labels)).distinct())
+        members = self.members(labels)
         heads = members.groupBy("gk").agg(F.min_by(F.struct(*members.columns), F.xxhash64(F.lit(number), "sk")).alias("h")).select("h.*")
         pairs = self.apart(groups.join(members.alias("a"), F.col("ga") == F.col("a.gk")).join(heads.alias("b"), F.col("gb") == F.col("b.gk")))
-        best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b", "an", "bn")).alias("v")).select("a", "v.*")
-        return self.verify(best)
-
-    def rest(self) -> DataFrame:
-        """Links between members of different components, all of them tested."""
-        members = materialize(self.labelled(), "jaccard_labels")
-        lists = materialize(self.lists(members), "jaccard_lists")
-        counts = lists.groupBy("token", "label").agg(F.count("*").alias("n"))
-        top = counts.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-        mixed = lists.join(top.select("token", "top"), "token")
-        # every pair of labels has a side that is not the most frequent one of its list
-        fewer = mixed.where(F.col("label") != F.col("top")).withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])))
-        once = (F.col("y.label") == F.col("y.top")) | (F.col("x.gk") < F.col("y.gk"))
-        groups = (fewer.alias("x").join(mixed.alias("y"), ["token", "band"])
+        best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b", "an", "bn")).alias("v"))
+        return materialize(best.select("a", "v.b", "v.an", "v.bn"), "jaccard_near")
+
+    def rest(self, labels: DataFrame) -> DataFrame:
+        """All pairs from long lists of members of different components that the filters let through."""
+        lists = self.lists(labels)
+        # two labels that differ: one of them at least is not the list's top one, whichever that is
+        top = lists.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("top"), F.min("label").alias("lo"),
+                                         F.max("label").alias("hi")).where("lo <> hi").select("token", "top")
+        fewer = lists.join(top, "token").where(F.col("label") != F.col("top"))
+        once = (F.col("y.label") == F.col("x.top")) | (F.col("x.gk") < F.col("y.gk"))
+        groups = (fewer.alias("x").join(lists.alias("y"), F.col("x.token") == F.col("y.token"))
                   .where((F.col("x.label") != F.col("y.label")) & once & self.met("x", "y"))
-                  .select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).unionByName(self.mixed_groups(members)).distinct())
-        pairs = groups.join(members.alias("a"), F.col("ga") == F.col("a.gk")).join(members.alias("b"), F.col("gb") == F.col("b.gk"))
-        return self.verify(self.apart(pairs.where((F.col("ga") != F.col("gb")) | (F.col("a.sk") < F.col("b.sk")))))
+                  .select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).unionByName(self.mixed_groups(labels)).distinct())
+        return materialize(self.pairs(groups, labels).select("a", "b", "an", "bn"), "jaccard_rest")
+
+    def tokens(self, pairs: DataFrame) -> DataFrame:
+        """sk, tokens: the whole set of every set in the pairs."""
+        k = self.rule.k
+        asked = pairs.select(F.col("a").alias("sk")).unionByName(pairs.select(F.col("b").alias("sk"))).distinct()
+        asked = materialize(self.sets.join(asked, "sk", "left_semi").select("sk", "n", F.col("place.doc_id").alias("d"), F.col("place.tk").alias("t")),
+                            "jaccard_asked")
+        texts = self.docs.select("doc_id", "text", text_key(F.col("text")).alias("tk")).join(
+            asked.hint("merge"), (F.col("tk") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("sk", "text")
 
-    def add(self, links: DataFrame) -> None:
-        links = links if self.links is None else links.unionByName(self.links)
-        self.links = materialize(links, "jaccard_links")
+        def run(batches):
+            for batch in slices(batches):
+                codes, first = _sets(batch.column("text"), k)
+                yield pa.RecordBatch.from_arrays([batch.column("sk"), pa.ListArray.from_arrays(
+                    pa.array(first, pa.int32()), pa.array(codes.view(np.int64), pa.int64()))], ["sk", "tokens"])
+
+        return materialize(texts.mapInArrow(run, "sk binary, tokens array<long>").dropDuplicates(["sk"]), "jaccard_tokens")
+
+    def verify(self, pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+        """The linked ones among pairs a, b, an, bn."""
+        sides = (pairs.join(tokens.select(F.col("sk").alias("a"), F.col("tokens").alias("ta")), "a")
+                 .join(tokens.select(F.col("sk").alias("b"), F.col("tokens").alias("tb")), "b"))
+        linked = F.size(F.array_intersect("ta", "tb")) >= self.rule.overlap("an", "bn")
+        return materialize(sides.where(linked).select("a", "b"), "jaccard_links")
 
     def run(self) -> DataFrame:
-        """sk, class: for every set the key of its component."""
+        """sk, comp: the component of every set that has links."""
+        pairs, labels = self.short(), None
         for number in range(ROUNDS):
-            self.add(self.near(number))
-        self.add(self.rest())
-        return components(self.links).select(F.col("id").alias("sk"), F.col("root").alias("class"))
+            pairs = pairs.unionByName(self.near(number, labels))
+            labels = self.labels(pairs)
+        # Taking all of these for links, whatever passes the filters with anything is in a pair: as one of them, or with
+        # some other component. So no later step asks for another set.
+        pairs = materialize(pairs.unionByName(self.rest(labels)).distinct(), "jaccard_pairs")
+        tokens = self.tokens(pairs)
+        links = self.verify(pairs, tokens)
+        links = links.unionByName(self.verify(self.rest(self.labels(links)).join(pairs, ["a", "b"], "left_anti"), tokens))
+        return self.labels(links)
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, tk, n, class of every document; class is null for empty sets."""
     join = Join(docs, rule)
-    roots = materialize(join.run(), "jaccard_classes")
+    roots = join.run().select("sk", "comp")
     return join.rows.select("doc_id", "tk", "n", "sk").join(roots, "sk", "left").select(
-        "doc_id", "tk", "n", F.when(F.col("n") > 0, F.coalesce("class", "sk")).alias("class"))
+        "doc_id", "tk", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sk")).alias("class"))
 
 
 def report(docs: DataFrame, rule: Rule) -> DataFrame:
