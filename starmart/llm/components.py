@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from starmart.session import materialize
 
@@ -15,7 +15,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest node around it."""
     around = _both(edges)
     least = around.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
-    return around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    return around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -33,12 +33,14 @@ def components(edges: DataFrame) -> DataFrame:
     each round is written, so no plan grows and a lost executor costs one round. The number of rounds
     grows with the logarithm of a component's size; no step holds more than a node's running minimum.
     """
-    edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
+    edges, seen = edges.where("a <> b").select("a", "b"), None
     while True:
-        edges = materialize(_small_star(_large_star(edges)), "links")
-        mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if mark == seen:
+        seal = Observation()                      # what a round has written, without another pass over it
+        moved = _small_star(_large_star(edges)).observe(
+            seal, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+        edges = materialize(moved, "links")
+        mark = (seal.get["n"], seal.get["h"])
+        if mark == seen or not mark[0]:
             break
         seen = mark
     return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(
