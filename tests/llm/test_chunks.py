@@ -61,3 +61,48 @@ def test_odd_rows(odd, documents):
     got = chunks.report(documents((None, t, "s"), (5, t + " end", "s"), (5, t, "s"), (5, t, "s"))).collect()
     assert sorted(str(r.doc_id) for r in got) == ["5", "5", "5", "None"]
     assert chunks.report(documents()).count() == chunks.without_repeats(documents()).count() == 0
+
+
+def kinds(seed):
+    """Passages of some 160 to 330 bytes: words, periods of 1 to 8 bytes, a pipe table, short words, two-byte letters, no spaces."""
+    pick = random.Random(seed)
+    size = pick.randint(160, 330)
+    letters = "abcdefghiklmnoprstuvw"
+    texts = [prose(seed + 5000, 80), "the " * 90, "".join(pick.choice(letters) for _ in range(pick.randint(1, 8))) * 400,
+             "| 1 | 2 " * 20 + prose(seed + 6000, 60), " ".join(pick.choice(letters) for _ in range(200)),
+             "".join(pick.choice("äöüßé ") for _ in range(200)), "".join(pick.choice(letters) for _ in range(400))]
+    return [t.encode()[:size].decode(errors="ignore") for t in texts]
+
+
+def test_every_passage_of_160_bytes_holds_a_seed(spark):
+    for seed in range(60):
+        for passage in kinds(seed):
+            if len(passage.encode()) < 160:
+                continue
+            a, b = [prose(2 * seed + i, 40) + " " + passage + " " + prose(900 + 2 * seed + i, 40) for i in (0, 1)]
+            grams = []
+            for text in (a, b):
+                data, _, start, _ = chunks.cuts(pa.array([text]))
+                low = len(text[:text.index(passage)].encode())
+                high = low + len(passage.encode())
+                grams.append({data[s:s + chunks.GRAM].tobytes() for s in start if low <= s and s + chunks.GRAM <= high})
+            assert grams[0] & grams[1], passage
+
+
+def test_short_periodic_and_whole_texts(documents):
+    shared = [p for seed in range(8) for p in kinds(seed) if len(p.encode()) >= 160]
+    rows = []
+    for i, p in enumerate(shared):
+        p = "{" + p + "}"
+        rows += [(2 * i + j, prose(7000 + 2 * i + j, 30) + " " + p + " " + prose(8000 + 2 * i + j, 30), "s") for j in (0, 1)]
+    n = len(rows)
+    rows += [(n, "Short.", "s"), (n + 1, "Short.", "s"), (n + 2, "Short", "s"), (n + 3, prose(1, 15), "s"), (n + 4, prose(1, 15) + " x", "s")]
+    got = {r.doc_id: r for r in chunks.report(documents(*rows)).collect()}
+    assert set(got) == set(range(n + 2))
+    for i, text, _ in rows[:n]:
+        raw, passage = text.encode(), shared[i // 2].encode()
+        low = raw.index(b"{" + passage + b"}")
+        covered = sum(min(s.end, low + len(passage) + 2) - max(s.start, low) for s in got[i].spans if s.end > low and s.start < low + len(passage) + 2)
+        assert covered == len(passage) + 2 and got[i].n_repeated <= len(passage) + 6, (text, got[i])
+        assert got[i].shared_with
+    assert got[n].n_repeated == got[n + 1].n_repeated == 6 and got[n].shared_with == [n + 1]
