@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from deliveries import records  # noqa: E402
 from starmart.session import configure  # noqa: E402
 
 
@@ -27,13 +28,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def records(spark, rows):
-    """(pos, rec) from Python objects; text is taken as JSON already."""
-    import json
-    texts = [r if isinstance(r, str) else json.dumps(r) for r in rows]
-    return spark.createDataFrame(list(enumerate(texts)), "pos BIGINT, rec STRING")
-
-
 @pytest.fixture
 def shop():
     """A small clean delivery: three products, two users, three carts with five lines."""

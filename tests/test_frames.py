@@ -9,7 +9,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import records
+from deliveries import records
 from pyspark.sql import Row, functions as F
 
 from starmart.functions import text, values

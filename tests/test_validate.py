@@ -6,7 +6,7 @@ import copy
 import json
 
 import pytest
-from conftest import records
+from deliveries import records
 from pyspark.sql import functions as F
 
 from starmart.operators import validate
