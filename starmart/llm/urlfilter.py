@@ -21,6 +21,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starmart.session import scratch_path
+
 # Fixed values of the contract: host, path, verdict.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 HASHED = 1 << 15
@@ -71,7 +73,11 @@ def fit(labelled: DataFrame) -> PipelineModel | str:
         return "block" if kinds == [1.0] else "allow"
     steps = [HashingTF(inputCol="pieces", outputCol="features", numFeatures=HASHED, binary=True),
              LogisticRegression(regParam=1e-3, maxIter=50)]
-    return Pipeline(stages=steps).fit(rows.withColumn("pieces", pieces(F.col("host"), F.col("path"))))
+    fitted = Pipeline(stages=steps).fit(rows.withColumn("pieces", pieces(F.col("host"), F.col("path"))))
+    # A fitted model keeps its training summary and with it the session, which not every session can send to tasks; a read one does not.
+    folder = scratch_path(labelled.sparkSession, "url-model")
+    fitted.write().save(folder)
+    return PipelineModel.load(folder)
 
 
 # The labelled table is made of these words, as site names and as sections.

@@ -44,3 +44,12 @@ def test_own_labels_and_empty_table(spark):
     labels = spark.createDataFrame([("http://a.info/", "allow"), (None, None)], "url string, verdict string")
     assert {r.verdict for r in urlfilter.judge(pages(spark, ["http://q.info/"]), labels).collect()} == {"allow"}
     assert urlfilter.judge(pages(spark, [])).count() == 0
+
+
+def test_after_an_observation(spark):
+    """A session that has observed something holds what cannot be sent to tasks; the model must not carry the session."""
+    from starmart.session import counted
+    rows, count = counted(spark.range(3))
+    rows.collect()
+    assert count() == 3
+    assert urlfilter.judge(pages(spark, ["http://casino-slots.example.info/1"])).collect()[0].verdict == "block"
