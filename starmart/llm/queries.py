@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import chunks, covertree, decontaminate, jaccard, licenses, lines, mixing, quality, toxicity, urlfilter
+from starmart.llm import chunks, covertree, decontaminate, jaccard, licenses, lines, mixing, quality, repair, toxicity, urlfilter
 from starmart.llm.common import table
 from starmart.llm.oracles import ORACLES  # noqa: F401
 
@@ -49,6 +49,11 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    return repair.report(table(spark, d, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op4_embedding_neardup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity)}
+    op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op4_embedding_neardup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity,
+    op11_conversation_repair)}
 
