@@ -8,11 +8,12 @@ edits before, so a string of edits says all.
 
 The search is iterative-deepening A*: depth first, edits in ASCII order, under a cost bound that rises to the least cost
 that exceeded it. States (row, shape, inserts just made) that failed keep the cost they are known to need, which prunes
-later visits and is the lower bound of the next round; before that, the bound is 2 for every faulty row ahead. The first path that arrives
+later visits and is the lower bound of the next round; before that, the bound is 2 for every faulty row ahead. Short searches from
+the last rows fill that table before those from the first row. The first path that arrives
 is the cheapest, and of equally cheap ones the ASCII-least. More than two inserts in a row lead to no new shape and are not tried.
 
 Conversations may be of any length: rows are ordered by range over all tasks and cut into pieces of at most PIECE rows. A
-piece is searched once for each shape before and after it (4 by 4). A table of 16 costs, and of the order of the
+piece is searched once for each shape before and after it (4 by 4; one, if it is a whole conversation). A table of 16 costs, and of the order of the
 16 strings, is all that is chained over a whole conversation; inserts stand before a row or at the end of the
 conversation, so no two strings of one piece are each other's beginning, and comparing them piece by piece compares
 the whole. The digest is one running hash over all rows of a conversation, so these pass through
@@ -27,6 +28,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 from math import inf
 
 import pyarrow as pa
@@ -35,7 +37,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.session import materialize
 
-PIECE = 128                  # rows of a piece
+PIECE = 64                   # rows of a piece
+STRIDE = 6                   # rows between the starts of the short searches
 PIECE_BYTES = 1 << 20        # of text, unless one row has more
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -44,6 +47,7 @@ BLANK, DUPLICATE, TRUNCATED = 1, 2, 3
 FITS = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
 DUE = [("user", 2), ("user", 2), ("assistant", 3), ("user", 2)]
 ENDING = ["", "II", "I", ""]                       # inserts that complete each shape at the end
+END = 4                                            # as a goal: the conversation ends, completed
 LEGAL = {"su", "ua", "au"}
 
 
@@ -59,56 +63,88 @@ def damage(conversations: DataFrame) -> DataFrame:
         F.explode(times).alias("time")).drop("time")
 
 
-def search(rows: list[tuple[str, int]], entry: int, goal: int) -> tuple[int, str] | None:
-    """Rows as (initial, fault): cost and edits of the best way from shape `entry` to shape `goal`, None if there is none."""
-    n = len(rows)
-    least = [0] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        least[i] = least[i + 1] + (2 if rows[i][1] else 0)
-    needs: dict[tuple[int, int, int], float] = {}
-
-    def moves(i, shape, inserts):
-        initial, fault = rows[i]
-        more = 5 if fault == TRUNCATED else 0
-        yield "D", 2, i + 1, shape, 0
-        if inserts < 2:
-            yield "I", 5, i, DUE[shape][1], inserts + 1
+@lru_cache(maxsize=4096)
+def _moves(initial: str, fault: int) -> tuple[list, list]:
+    """For each shape the moves from a row, in ASCII order of their edits: (edit, cost, rows taken, shape after); with and
+    without insertion."""
+    more = 5 if fault == TRUNCATED else 0
+    full, bare = [], []
+    for shape in range(4):
+        due = DUE[shape][1]
+        moves = [("D", 2, 1, shape), ("I", 5, 0, due)]
         if fault not in (BLANK, DUPLICATE):
             if initial in FITS[shape]:
-                yield "K", more, i + 1, FITS[shape][initial], 0
-            yield "R", 1 + more, i + 1, DUE[shape][1], 0
+                moves.append(("K", more, 1, FITS[shape][initial]))
+            moves.append(("R", 1 + more, 1, due))
+        full.append(moves)
+        bare.append([m for m in moves if m[0] != "I"])
+    return full, bare
+
+
+class Search:
+    """All searches for one shape after the rows, (initial, fault) each. What failed is known to need more from there on, whatever
+    came before, so the searches share one table."""
+
+    def __init__(self, rows: list[tuple[str, int]], goal: int):
+        self.goal, self.n = goal, len(rows)
+        self.moves = [_moves(*row) for row in rows]
+        self.least = [0] * (self.n + 1)
+        for i in range(self.n - 1, -1, -1):
+            self.least[i] = self.least[i + 1] + (2 if rows[i][1] else 0)
+        self.needs: dict[tuple[int, int, int], float] = {}
+        # short searches from rows near the end first, so that those from the start meet few surprises
+        for start in range((self.n - 1) // STRIDE * STRIDE, 0, -STRIDE):
+            for shape in range(4):
+                self.best(shape, start)
+
+    def best(self, shape: int, start: int = 0) -> tuple[int, str] | None:
+        """Cost and edits of the best way from `shape` before row `start`; None if there is none."""
+        bound = self.needs.get((start, shape, 0), self.least[start])
+        while bound < inf:
+            path, low = self._descend(start, shape, 0, bound)
+            if path is not None:
+                self.needs[start, shape, 0] = bound
+                return int(bound), "".join(reversed(path))
+            bound = low
+        return None
 
-    def descend(i, shape, inserts, left):
+    def _descend(self, i: int, shape: int, inserts: int, left: float):
+        """The edits in reverse if `left` is enough, else None and a lower bound of what is needed."""
         state = (i, shape, inserts)
-        need = needs.get(state, least[i])
+        need = self.needs.get(state)
+        if need is None:
+            need = self.least[i]
         if need > left:
             return None, need
-        if i == n:
-            return ([], 0) if shape == goal else (None, inf)
+        if i == self.n:
+            if self.goal == END:
+                need = 5 * len(ENDING[shape])
+                return (list(ENDING[shape]), 0) if need <= left else (None, need)
+            return ([], 0) if shape == self.goal else (None, inf)
         need = inf
-        for edit, cost, j, after, k in moves(i, shape, inserts):
-            path, low = descend(j, after, k, left - cost)
+        for edit, cost, step, after in self.moves[i][inserts == 2][shape]:
+            path, low = self._descend(i + step, after, 0 if step else inserts + 1, left - cost)
             if path is not None:
                 path.append(edit)
                 return path, 0
-            need = min(need, cost + low)
-        needs[state] = need
+            if cost + low < need:
+                need = cost + low
+        self.needs[state] = need
         return None, need
 
-    bound = least[0]
-    while bound < inf:
-        path, low = descend(0, entry, 0, bound)
-        if path is not None:
-            return int(bound), "".join(reversed(path))
-        bound = low
-    return None
+
+def search(rows: list[tuple[str, int]], entry: int, goal: int) -> tuple[int, str] | None:
+    """Cost and edits of the best way from shape `entry` to shape `goal`, None if there is none."""
+    return Search(rows, goal).best(entry)
 
 
-def table_of(rows: list[tuple[str, int]], entries) -> tuple[list[int], list[int], list[str]]:
-    """For entry * 4 + exit: cost (-1: impossible), the string's place among those of the same entry, the string."""
+def table_of(rows: list[tuple[str, int]], entries, ends: bool = False) -> tuple[list[int], list[int], list[str]]:
+    """For entry * 4 + exit: cost (-1: impossible), the string's place among those of the same entry, the string. If the
+    conversation ends here, the only exit is 3, complete, with the inserts that this takes."""
     costs, places, edits = [-1] * 16, [0] * 16, [""] * 16
+    searches = {3: Search(rows, END)} if ends else {goal: Search(rows, goal) for goal in range(4)}
     for entry in entries:
-        found = {goal: f for goal in range(4) if (f := search(rows, entry, goal))}
+        found = {goal: f for goal, s in searches.items() if (f := s.best(entry))}
         for place, goal in enumerate(sorted(found, key=lambda g: found[g][1])):
             at = entry * 4 + goal
             (costs[at], edits[at]), places[at] = found[goal], place
@@ -180,13 +216,13 @@ def pieces(rows: DataFrame, size: int = PIECE) -> DataFrame:
         number = TaskContext.get().partitionId() << 40
         piece, previous, before = [], None, None            # before: (conv_id,) of the piece before, in this task
 
-        def close():
+        def close(ends=False):
             marked = [(r["role"][:1], r["fault"]) for r in piece]
             initials = [m[0] for m in marked]
             given = [r["turn"] for r in piece if r["turn"] is not None]
             kinds = [m[1] for m in marked]
             # what follows another conversation begins its own; the first piece of a task may go on with one
-            costs, places, edits = table_of(marked, [0] if before and before[0] != piece[0]["conv_id"] else range(4))
+            costs, places, edits = table_of(marked, [0] if before and before[0] != piece[0]["conv_id"] else range(4), ends)
             illegal = sum(x + y not in LEGAL for x, y in zip(initials, initials[1:]))
             return {"conv_id": piece[0]["conv_id"], "piece": number, "roles": [r["role"] for r in piece], "texts": [r["text"] for r in piece],
                     "costs": costs, "places": places, "edits": edits,
@@ -201,7 +237,7 @@ def pieces(rows: DataFrame, size: int = PIECE) -> DataFrame:
                 key = tuple(row[k] for k in keys)
                 conv = row["conv_id"]
                 if piece and (conv != piece[0]["conv_id"] or len(piece) == size or used > PIECE_BYTES):
-                    out.append(close())
+                    out.append(close(conv != piece[0]["conv_id"]))
                     before = (piece[0]["conv_id"],)
                     number, piece, used = number + 1, [], 0
                 row["fault"] = BLANK if row["blank"] else DUPLICATE if row["later"] or key == previous else TRUNCATED if row["cut"] else 0
