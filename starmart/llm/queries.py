@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import chunks, covertree, decontaminate, jaccard, licenses, lines, mixing, quality, repair, toxicity, urlfilter
+from starmart.llm import chunks, covertree, decontaminate, extract, jaccard, licenses, lines, mixing, quality, repair, spelling, toxicity, urlfilter
 from starmart.llm.common import table
 from starmart.llm.oracles import ORACLES  # noqa: F401
 
@@ -53,7 +53,15 @@ def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return repair.report(table(spark, d, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.report(table(spark, d, "documents"))
+
+
+def op13_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return extract.extract(table(spark, d, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_license_scan, op3_line_dedup, op4_embedding_neardup, op5_quality, op6_source_mixing, op7_benchmark_decontamination, op8_url_filter, op9_substring_dedup, op10_toxicity,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_spelling_variants, op13_html_extraction)}
 
