@@ -51,14 +51,22 @@ def all_revenue(t: Tables) -> Column:
 
 def per_product(t: Tables) -> DataFrame:
     """One row per sold product with its attributes: lines, units_sold, revenue."""
-    sold = t["fact_sales"].groupBy("product_key").agg(F.count("*").alias("lines"), units(), revenue())
-    return sold.join(t["dim_product"], "product_key")
+    return product_totals(t).join(t["dim_product"], "product_key")
 
 
 def per_customer(t: Tables) -> DataFrame:
     return t["fact_sales"].groupBy("customer_key").agg(revenue())
 
 
+def per_day(t: Tables) -> DataFrame:
+    return t["fact_sales"].groupBy("date_key").agg(orders(), units(), revenue())
+
+
+def product_totals(t: Tables) -> DataFrame:
+    """One row per sold product: lines, units_sold, revenue."""
+    return t["fact_sales"].groupBy("product_key").agg(F.count("*").alias("lines"), units(), revenue())
+
+
 def customer_orders(t: Tables) -> DataFrame:
     """One row per customer: orders, units_sold, revenue, first and last order day."""
     return (
@@ -69,6 +77,21 @@ def customer_orders(t: Tables) -> DataFrame:
     )
 
 
+def category_measures(products: DataFrame, t: Tables, column: str) -> DataFrame:
+    """products_sold, units_sold, revenue by a product column, from totals per product."""
+    return products.join(t["dim_product"].select("product_key", column), "product_key").groupBy(column).agg(
+        F.count("*").alias("products_sold"), F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue")
+    )
+
+
+def category_carts(sales: DataFrame, t: Tables, column: str) -> DataFrame:
+    """Distinct carts by a product column; only (group, cart) pairs are exchanged."""
+    return (
+        sales.select("product_key", "cart_id").join(t["dim_product"].select("product_key", column), "product_key")
+        .groupBy(column).agg(orders())
+    )
+
+
 def per_category(t: Tables, column: str) -> DataFrame:
     """products_sold, orders, units_sold, revenue by a product column.
 
@@ -76,32 +99,22 @@ def per_category(t: Tables, column: str) -> DataFrame:
     distinct carts need (group, cart) pairs. One pass with two distinct counts would expand
     every fact row threefold.
     """
-    measures = per_product(t).groupBy(column).agg(
-        F.count("*").alias("products_sold"), F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue")
-    )
-    carts = (
-        t["fact_sales"].select("product_key", "cart_id")
-        .join(t["dim_product"].select("product_key", column), "product_key")
-        .groupBy(column).agg(orders())
-    )
-    return measures.join(carts, column)
+    return category_measures(product_totals(t), t, column).join(category_carts(t["fact_sales"], t, column), column)
 
 
-def daily_sales(t: Tables) -> DataFrame:
-    days = t["fact_sales"].groupBy("date_key").agg(orders(), units(), revenue())
+def finished_days(days: DataFrame, t: Tables) -> DataFrame:
     out = days.join(t["dim_date"].select("date_key", "full_date"), "date_key").withColumn(
         "avg_order_value", ratio(F.col("revenue"), F.col("orders"))
     )
     return conform(out, TABLES["agg_daily_sales"])
 
 
-def category_sales(t: Tables) -> DataFrame:
-    out = per_category(t, "category").withColumn("revenue_share", percent(F.col("revenue"), all_revenue(t)))
-    return conform(out, TABLES["agg_category_sales"])
+def finished_categories(categories: DataFrame, total: Column) -> DataFrame:
+    return conform(categories.withColumn("revenue_share", percent(F.col("revenue"), total)), TABLES["agg_category_sales"])
 
 
-def customer_summary(t: Tables) -> DataFrame:
-    ranked = with_position(customer_orders(t), [F.col("revenue").desc(), F.col("customer_key")], "at", "customers")
+def finished_customers(customers: DataFrame) -> DataFrame:
+    ranked = with_position(customers, [F.col("revenue").desc(), F.col("customer_key")], "at", "customers")
     names = F.array(*[F.lit(s) for s in SEGMENTS])
     out = ranked.withColumns({
         "units_purchased": F.col("units_sold"),
@@ -111,6 +124,18 @@ def customer_summary(t: Tables) -> DataFrame:
     return conform(out, TABLES["agg_customer_summary"])
 
 
+def daily_sales(t: Tables) -> DataFrame:
+    return finished_days(per_day(t), t)
+
+
+def category_sales(t: Tables) -> DataFrame:
+    return finished_categories(per_category(t, "category"), all_revenue(t))
+
+
+def customer_summary(t: Tables) -> DataFrame:
+    return finished_customers(customer_orders(t))
+
+
 AGGREGATES = {
     "agg_daily_sales": daily_sales,
     "agg_category_sales": category_sales,

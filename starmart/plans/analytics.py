@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starmart.functions.values import key_to_date
-from starmart.operators.pairs import pair_counts
+from starmart.operators.pairs import top_pairs
 from starmart.operators.position import tile, with_position
 from starmart.plans.aggregates import (
     Tables, all_revenue, grand_total, orders, per_category, per_customer, per_product, percent, ratio, revenue, units,
@@ -142,10 +142,8 @@ def price_tiers(t: Tables) -> DataFrame:
 
 
 def bought_together(t: Tables, n: int = 10) -> DataFrame:
-    titles = t["dim_product"].select("product_key", "product_id", "title")
-    lines = t["fact_sales"].select("cart_id", "product_key").join(titles, "product_key")
-    pairs = pair_counts(lines.select("cart_id", "product_id", "title"), t["fact_sales"].select("cart_id"))
-    return pairs.orderBy(F.desc("carts_together"), "product_a", "product_b").limit(n)
+    products = t["dim_product"].select("product_key", "product_id", "title")
+    return top_pairs(t["fact_sales"].select("cart_id", "product_key"), products, n, "product_key")
 
 
 def customer_recency(t: Tables) -> DataFrame:

@@ -107,7 +107,7 @@ def table_schemas(spark: SparkSession, t: Tables) -> DataFrame:
 
 
 def loaded_rows(frames: Tables, t: Tables) -> DataFrame:
-    """Every staged key has to be in the new tables."""
+    """Every staged key has to be in the new tables; of the fact, `t` may hold the part that the staged carts can be in."""
     out = []
     for name, frame in frames.items():
         keys, found = FRAME_KEYS[name], t[name]
@@ -130,6 +130,7 @@ BUSINESS_KEYS = {
 
 
 def business_keys(t: Tables) -> DataFrame:
+    """Repeated keys; of the fact, `t` may hold the part in which a batch can have caused them."""
     out = []
     for name, keys in BUSINESS_KEYS.items():
         groups = t[name].groupBy(*keys).agg(F.count("*").alias("n"))
@@ -139,47 +140,88 @@ def business_keys(t: Tables) -> DataFrame:
     return union_all(out)
 
 
-def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """One row `orphans`: child rows whose key no parent row has; counted per key, then joined."""
-    used = child.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    lost = used.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
+# The fact's references, by the name of their check: column, table; a key has the same name in both.
+FACT_REFERENCES = [
+    ("orphan_customer_fk", "customer_key", "dim_customer"),
+    ("orphan_product_fk", "product_key", "dim_product"),
+    ("orphan_date_fk", "date_key", "dim_date"),
+]
 
 
-def foreign_keys(t: Tables) -> DataFrame:
+def _keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All keys of some columns as rows (column, key), from one scan."""
+    each = [F.struct(F.lit(c).alias("column"), (F.col(c) if _is_text(df, c) else F.col(c).cast("bigint")).alias("key")) for c in columns]
+    return df.select(F.inline(F.array(*each)))
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString() == "string"
+
+
+def parent_keys(t: Tables, references: list[tuple[str, str]]) -> DataFrame:
+    """(column, key) of every row that can be referred to; `references` are (column, table)."""
+    return union_all([_keys(t[table], [column]) for column, table in dict.fromkeys(references)])
+
+
+def orphans(children: Tables, references: list[tuple[str, str, str]], parents: Tables) -> DataFrame:
+    """(child, column, orphans) for references (child, column, parent): rows whose key no parent row has.
+
+    Each child is scanned once: the keys of all its references are rows, counted per key, so that a hot key is one row, and
+    met by one anti join with the keys of all parents.
+    """
     out = []
-    for name, column, parent in (
-        ("orphan_customer_fk", "customer_key", "dim_customer"),
-        ("orphan_product_fk", "product_key", "dim_product"),
-        ("orphan_date_fk", "date_key", "dim_date"),
-    ):
-        lost = orphan_rows(t["fact_sales"], column, t[parent], column)
-        out.append(_zero(lost.withColumnRenamed("orphans", name), "fact_sales"))
+    for kind in (False, True):
+        wanted = [r for r in references if _is_text(children[r[0]], r[1]) == kind]
+        if not wanted:
+            continue
+        names = list(dict.fromkeys(r[0] for r in wanted))
+        used = union_all([_keys(children[n], [c for child, c, _ in wanted if child == n]).groupBy("column", "key").agg(
+            F.count("*").alias("n")).select(F.lit(n).alias("child"), "*") for n in names])
+        lost = used.join(parent_keys(parents, [(c, p) for _, c, p in wanted]), ["column", "key"], "left_anti")
+        out.append(lost.groupBy("child", "column").agg(F.sum("n").alias("orphans")))
     return union_all(out)
 
 
+def foreign_keys(t: Tables) -> DataFrame:
+    """Fact rows without a parent, from the fact itself; a run has the same numbers from the states of its months."""
+    found = orphans(t, [("fact_sales", c, p) for _, c, p in FACT_REFERENCES], t)
+    counts = found.agg(*[F.sum(F.when(F.col("column") == c, F.col("orphans"))).alias(name) for name, c, _ in FACT_REFERENCES])
+    return _zero(counts, "fact_sales")
+
+
+# Faulty fact rows, by the name of their check.
+FACT_FAULTS = {
+    "non_positive_measures": "quantity <= 0 OR unit_price < 0 OR line_total < 0",
+    "line_total_equals_qty_x_price": "abs(line_total - quantity * unit_price) > 0.005BD",
+}
+
+
 def fact_measures(t: Tables) -> DataFrame:
-    wrong = (F.col("quantity") <= 0) | (F.col("unit_price") < 0) | (F.col("line_total") < 0)
-    off = F.abs(F.col("line_total") - F.col("quantity") * F.col("unit_price")) > F.lit("0.005").cast("decimal(4,3)")
-    return _zero(t["fact_sales"].agg(
-        F.count_if(wrong).alias("non_positive_measures"), F.count_if(off).alias("line_total_equals_qty_x_price")
-    ), "fact_sales")
+    return _zero(t["fact_sales"].agg(*[F.count_if(F.expr(test)).alias(name) for name, test in FACT_FAULTS.items()]), "fact_sales")
 
 
-def aggregates_reconcile(t: Tables) -> DataFrame:
-    sold = t["fact_sales"].agg(F.coalesce(F.sum("line_total"), F.lit(0)))
+def aggregates_reconcile(t: Tables, sold: Column) -> DataFrame:
+    """`sold` is the fact's revenue: a scalar over the fact, or the sum of its months' states."""
     out = []
     for name, check in (("agg_daily_sales", "agg_daily_revenue_reconciles"),
                         ("agg_category_sales", "agg_category_revenue_reconciles")):
-        gap = F.abs(F.coalesce(F.sum("revenue"), F.lit(0)) - sold.scalar())
+        gap = F.abs(F.coalesce(F.sum("revenue"), F.lit(0)) - sold)
         out.append(_zero(t[name].agg((gap >= F.lit("0.01").cast("decimal(3,2)")).cast("int").alias(check)), name))
     return union_all(out)
 
 
-def after_load(spark: SparkSession, frames: Tables, t: Tables) -> DataFrame:
+def fact_from_states(states: DataFrame) -> DataFrame:
+    """The checks of single fact rows and of their references, added up over the months."""
+    names = [*[name for name, _, _ in FACT_REFERENCES], *FACT_FAULTS]
+    return _zero(states.agg(*[F.sum(n).alias(n) for n in names]), "fact_sales")
+
+
+def after_load(spark: SparkSession, frames: Tables, t: Tables, states: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """`states` has one row per month of the fact; `near` is the part of the fact in the cart ids' range of the batch."""
+    part = t if near is None else t | {"fact_sales": near}
+    sold = states.agg(F.coalesce(F.sum("revenue"), F.lit(0))).scalar()
     return union_all([
-        table_schemas(spark, t), loaded_rows(frames, t), business_keys(t), foreign_keys(t), fact_measures(t),
-        aggregates_reconcile(t),
+        table_schemas(spark, t), loaded_rows(frames, part), business_keys(part), fact_from_states(states), aggregates_reconcile(t, sold),
     ])
 
 

@@ -7,19 +7,24 @@ number once and then read plain Parquet. A run that fails leaves folders nobody
 
 from __future__ import annotations
 
+import copy
 import json
 import uuid
 from datetime import date, datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.operators.position import with_position
-from starmart.schemas import TABLES, empty
+from starmart.schemas import STATES, TABLES, conform, empty
 
-# Tables written once per run as a whole; the fact is kept by month.
-WHOLE = [name for name in TABLES if name not in ("fact_sales", "etl_run_audit", "data_quality_results")]
 LOGS = ["etl_run_audit", "data_quality_results"]
+# Tables kept in buckets of their natural key; a run writes the buckets it changes. The fact is kept by month, the rest as a whole.
+BUCKETED = {"dim_customer": "customer_id", "dim_product": "product_id"}
+BUCKETS = 64
+
+
+EMPTY = {"version": 0, "run_id": None, "tables": {}, "buckets": {}, "months": {}, "states": {}, "repeated_keys": 0, "last_keys": {}, "watermarks": {}}
 
 
 class PublishConflict(RuntimeError):
@@ -46,15 +51,15 @@ class Warehouse:
     # ---- manifest
 
     def manifest(self) -> dict:
-        """run_id, whole tables -> folder, fact months -> folder, last keys, watermarks; empty at first."""
+        """run_id; folders of whole tables, of buckets and of fact months; each month's state; last keys; watermarks. Empty at first."""
         folder = self._path(f"{self.root}/manifests")
         files = folder.getFileSystem(self._conf).globStatus(self._path(f"{self.root}/manifests/*.json"))
         names = sorted(f.getPath().getName() for f in files or [])
         if names:
-            return json.loads(self.spark.read.text(f"{self.root}/manifests/{names[-1]}", wholetext=True).first()[0])
+            return {**EMPTY, **json.loads(self.spark.read.text(f"{self.root}/manifests/{names[-1]}", wholetext=True).first()[0])}
         if self.exists(f"{self.root}/data"):
             raise ManifestLost(f"{self.root} holds data, but no manifest says which of it is current")
-        return {"version": 0, "run_id": None, "tables": {}, "months": {}, "last_keys": {}, "watermarks": {}}
+        return copy.deepcopy(EMPTY)
 
     def begin(self) -> dict:
         """The current manifest; an empty warehouse gets its first one before any data is written."""
@@ -91,30 +96,46 @@ class Warehouse:
 
     def tables(self, manifest: dict | None = None) -> dict[str, DataFrame]:
         m = manifest or self.manifest()
-        out = {name: self._whole(name, m["tables"].get(name)) for name in WHOLE}
-        out["fact_sales"] = self._fact(m["months"])
-        out["etl_run_audit"] = self.runs()
-        out["data_quality_results"] = self._log("data_quality_results")
-        return out
+        return {name: self.table(name, m) for name in TABLES}
+
+    def table(self, name: str, m: dict) -> DataFrame:
+        if name == "etl_run_audit":
+            return self.runs()
+        if name in LOGS:
+            return self._log(name)
+        if name == "fact_sales":
+            return self.parts(name, m["months"])
+        parts = m["buckets"].get(name)
+        return self.parts(name, parts) if parts else self._whole(name, m["tables"].get(name))
+
+    def state(self, manifest: dict, name: str) -> DataFrame | None:
+        path = manifest["tables"].get(name)
+        return self.spark.read.schema(STATES[name]).parquet(path) if path else None
 
     def _whole(self, name: str, path: str | None) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(path) if path else empty(self.spark, TABLES[name])
 
-    def _fact(self, months: dict[str, str]) -> DataFrame:
-        """Folders of several runs under one base path, so that a month filter prunes folders."""
-        schema = TABLES["fact_sales"]
-        if not months:
+    def parts(self, name: str, folders: dict[str, str]) -> DataFrame:
+        """Folders of several runs under one base path; what is not among them is not opened."""
+        schema = TABLES[name]
+        if not folders:
             return empty(self.spark, schema)
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/data/fact_sales").parquet(*sorted(months.values()))
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/data/{name}").parquet(*sorted(folders.values()))
         return rows.select(schema.names)
 
     # ---- writing
 
     def write_whole(self, df: DataFrame, name: str, run_id: str) -> str:
         path = f"{self.root}/data/{name}/run={run_id}"
-        df.select(TABLES[name].names).write.parquet(path)
+        conform(df, (TABLES | STATES)[name]).write.parquet(path)
         return path
 
+    def write_buckets(self, df: DataFrame, name: str, run_id: str) -> dict[str, str]:
+        path = f"{self.root}/data/{name}/run={run_id}"
+        rows = df.select(*TABLES[name].names, bucket(name).alias("bucket"))
+        rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
+        return {str(b): f"{path}/bucket={b}" for b in range(BUCKETS) if self.exists(f"{path}/bucket={b}")}
+
     def write_fact(self, df: DataFrame, run_id: str, months: list[int], arrange: bool = True) -> dict[str, str]:
         """Ranges by month and key: a large month spreads over many tasks, and file statistics stay tight."""
         path = f"{self.root}/data/fact_sales/run={run_id}"
@@ -151,6 +172,10 @@ class Warehouse:
         return self.manifest()["watermarks"].get(entity, {}).get("value")
 
 
+def bucket(name: str) -> Column:
+    return F.pmod(F.xxhash64(BUCKETED[name]), F.lit(BUCKETS)).cast("int")
+
+
 def assign_keys(fresh: DataFrame, natural: list[str], key: str, last: int) -> DataFrame:
     """Surrogate keys after the last one given out, in natural-key order."""
     numbered = with_position(fresh, [F.col(c) for c in natural], key)

@@ -98,6 +98,9 @@ TABLES = {
     ),
 }
 
+# What a run keeps beside the published tables, so that the next one need not read the whole fact.
+STATES = {"state_product_sales": _struct("product_key BIGINT, lines BIGINT, units_sold BIGINT, revenue DECIMAL(22,2)")}
+
 # Columns a reader of the published tables may rely on.
 PUBLISHED_COLUMNS = {
     "dim_date": FRAME_COLUMNS["dim_date"],

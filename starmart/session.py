@@ -18,6 +18,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # overflow and bad casts fail instead of becoming null or wrapping
+    "spark.sql.ansi.enabled": "true",
+    # the folders of a table's months or buckets are listed without a job of their own
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "200",
 }
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import random
+from collections import Counter
 from pathlib import Path
 from urllib.parse import urlparse
 from datetime import date
@@ -14,7 +16,7 @@ from pyspark.sql import Row, functions as F
 
 from starmart.functions import text, values
 from starmart.operators import star, validate
-from starmart.operators.pairs import pair_counts
+from starmart.operators.pairs import pair_counts, top_pairs
 from starmart.operators.position import tile, with_position
 from starmart.plans import checks
 from starmart.plans.aggregates import ratio
@@ -110,14 +112,54 @@ def test_json_lines_keep_their_order(spark, tmp_path):
 
 
 def test_json_arrays(spark, tmp_path):
-    (tmp_path / "a.json").write_text('[{"id": 1}, "junk",\n null]')
-    (tmp_path / "b.json").write_text('[{"id": 2}]')
-    assert [r["rec"] for r in src.read_json_arrays(spark, str(tmp_path)).orderBy("pos").collect()] == ['{"id":1}', '"junk"', "null", '{"id":2}']
-    (tmp_path / "c.json").write_text('{"error": 1}')
+    (tmp_path / "a.json").write_text('[{"id": 1.50}, "junk",\n null]')
+    (tmp_path / "b.json").write_text(' [{"id":2}]\n')
+    (tmp_path / "d.json").write_text("[]")
+    (tmp_path / "e.json").write_text('[ [1, {"a": [2, "x]}"]}, 3], {} , "a}b,{", -1, [],\n{"q": "\\\\\\"}", "r": {"s": {}}},true ]')
+    got = [r["rec"] for r in src.read_json_arrays(spark, str(tmp_path)).orderBy("pos").collect()]
+    assert got == ['{"id": 1.50}', '"junk"', "null", '{"id":2}', '[1, {"a": [2, "x]}"]}, 3]', "{}", '"a}b,{"', "-1", "[]",
+                   '{"q": "\\\\\\"}", "r": {"s": {}}}', "true"]
+
+
+@pytest.mark.parametrize("text", ['{"error": 1}', "", "  ", "nope", '[{"a": 1}', '[{"a": 1}}', '[{"a": {"b": 1}]', '"[1]"'])
+def test_what_is_no_array_is_refused(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text('[{"id": 1}]')
+    (tmp_path / "c.json").write_text(text)
     with pytest.raises(src.SourceError, match="c.json"):
         src.read_json_arrays(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("seed,bytes_per_split", [(1, 150), (2, 397)])
+def test_json_arrays_over_many_tasks(spark, tmp_path, seed, bytes_per_split):
+    """Splits anywhere, also within strings, numbers, and records longer than several splits."""
+    pick = random.Random(seed)
+
+    def value(depth):
+        kind = pick.randrange(8 if depth < 3 else 4)
+        if kind < 2:
+            return pick.choice(["109.950", "1e3", "null", "true", "-0.0"])
+        if kind < 4:
+            return json.dumps("".join(pick.choice('a}{][",:\\ é\n') for _ in range(pick.randint(0, 12))), ensure_ascii=pick.random() < 0.5)
+        if kind < 6:
+            return "[" + pick.choice([",", " , "]).join(value(depth + 1) for _ in range(pick.randint(0, 4))) + "]"
+        return "{" + ",".join(f'"k{i}"{pick.choice([":", " : "])}{value(depth + 1)}' for i in range(pick.randint(0, 4))) + "}"
+
+    texts = []
+    for name in ("a", "b"):
+        here = [value(0) if pick.random() < 0.3 else '{"id": %d, "v": %s}' % (i, value(1)) for i in range(30)]
+        (tmp_path / f"{name}.json").write_text("[" + pick.choice([",", ",\n ", " ,"]).join(here) + "]\n", encoding="utf-8")
+        texts += here
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(bytes_per_split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = src.read_json_arrays(spark, str(tmp_path)).orderBy("pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r["rec"] for r in got] == texts and len({r["pos"] for r in got}) == len(texts)
+
+
 def test_empty_sources():
     src.require_records(0, "carts")
     with pytest.raises(src.SourceError):
@@ -175,14 +217,51 @@ def test_scratch_goes_away(spark):
     assert not path.exists()
 
 
-def test_large_carts_count_like_small_ones(spark):
-    """A cart with a third of all lines: counting by halves equals listing the pairs."""
+def some_carts(spark):
+    """A cart with a third of all lines among small ones; titles that several products share."""
     hot = spark.range(300).select(F.lit(1).alias("cart_id"), F.col("id").alias("product_id"))
-    rest = spark.range(600).select((F.col("id") % 90 + 2).cast("int").alias("cart_id"), (F.col("id") * 7 % 300).alias("product_id"))
-    lines = hot.unionByName(rest).distinct().withColumn("title", F.concat(F.lit("t"), F.col("product_id") % 23))
-    want = {tuple(r) for r in pair_counts(lines, direct_lines=10_000).collect()}
-    assert want == {tuple(r) for r in pair_counts(lines, direct_lines=64).collect()}
-    assert want == {tuple(r) for r in pair_counts(lines, direct_lines=1).collect()}
+    rest = spark.range(600).select((F.col("id") % 90 + 2).cast("int").alias("cart_id"), (F.col("id") * F.col("id") * 7 % 300).alias("product_id"))
+    return hot.unionByName(rest).distinct().withColumn("title", F.concat(F.lit("t"), F.col("product_id") % 23))
+
+
+def listed_pairs(lines):
+    carts, pairs = {}, Counter()
+    for r in lines.collect():
+        carts.setdefault(r["cart_id"], []).append((r["product_id"], r["title"]))
+    for cart in carts.values():
+        pairs.update((a[1], b[1]) for a in cart for b in cart if a[0] < b[0])
+    return pairs
+
+
+def test_large_carts_count_like_small_ones(spark):
+    """Dividing a cart equals listing its pairs, wherever the division ends."""
+    lines = some_carts(spark)
+    want = {(*pair, n) for pair, n in listed_pairs(lines).items()}
+    for leaf_lines in (10_000, 64, 1):
+        assert want == {tuple(r) for r in pair_counts(lines, leaf_lines).collect()}
+
+
+@pytest.mark.parametrize("frequent,k", [(2, 10), (5, 10), (23, 10), (256, 3), (3, 1000)])
+def test_top_pairs_equal_all_pairs_sorted(spark, frequent, k):
+    lines = some_carts(spark)
+    want = sorted(((*pair, n) for pair, n in listed_pairs(lines).items()), key=lambda p: (-p[2], p[0], p[1]))[:k]
+    products = lines.select("product_id", "title").distinct()
+    assert [tuple(r) for r in top_pairs(lines.drop("title"), products, k, frequent=frequent).collect()] == want
+
+
+def test_top_pairs_make_few_of_many(spark):
+    """One pair in every cart among titles that occur once: only the titles that can reach its count are kept, and no job runs before the result
+    is asked for."""
+    carts = spark.range(200)
+    common = carts.select(F.col("id").alias("cart_id"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("product_id"))
+    rare = carts.select(F.col("id").alias("cart_id"), F.explode(F.sequence(F.col("id") * 5 + 10, F.col("id") * 5 + 14)).alias("product_id"))
+    lines = common.unionByName(rare)
+    products = spark.range(2000).select(F.col("id").alias("product_id"), F.format_string("p%04d", "id").alias("title"))
+    spark.sparkContext.setJobGroup("pairs", "building")
+    got = top_pairs(lines, products, 1, frequent=4)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("pairs")) == []
+    assert [tuple(r) for r in got.collect()] == [("p0001", "p0002", 200)]
+    spark.sparkContext.setJobGroup("other", "")
 
 
 # ---- checks
