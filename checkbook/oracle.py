@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from checkbook.fixture import COPIES, expected_reasons, record, shapeless, token
 from starmart.functions.text import SPACE
+from starmart.schemas import FRAME_COLUMNS, FRAME_KEYS
 
 # ---------------------------------------------------------------- helpers
 
@@ -246,11 +247,16 @@ def each(select: str, entities=("products", "users", "carts")) -> str:
     return "\nUNION ALL\n".join(select.format(e=e) for e in entities)
 
 
+LINE_POS = "cart_id * 1000000 + line"
+
+
 def single_reasons(prefix: str) -> str:
     parts = []
     for e in ("products", "users", "carts"):
         for reason in expected_reasons(e):
             parts.append(f"SELECT '{e}' AS entity, pos, {reason} AS reason FROM {e}_in WHERE NOT coalesce({shapeless(e)}, false)")
+    for reason in expected_reasons("cart_items"):
+        parts.append(f"SELECT 'cart_items' AS entity, {LINE_POS} AS pos, {reason} AS reason FROM lines_in WHERE c = 0")
     return f"SELECT entity, pos, reason FROM ({' UNION ALL '.join(parts)}) WHERE reason LIKE '{prefix}%'"
 
 
@@ -259,6 +265,12 @@ def token_text(entity: str, path: str) -> str:
     return f"CASE WHEN {t} = 'null' THEN null WHEN {t} LIKE '\"%' THEN {t}[2:-2] ELSE {t} END"
 
 
+def field_text(entity: str, path: str) -> str:
+    """A field's text; of numbers, as they compare, without closing zeros."""
+    t = f"({token(entity, path)})"
+    return f"CASE WHEN regexp_matches({t}, '^-?[0-9]+[.][0-9]+$') THEN rtrim(rtrim({t}, '0'), '.') ELSE {token_text(entity, path)} END"
+
+
 REASON = "CASE WHEN repeated THEN 'duplicate_key:id' ELSE why END"
 
 CART_ITEM_RAW = """
@@ -292,6 +304,14 @@ def squash(x: str) -> str:
     return f"trim(regexp_replace({x}, '[{SPACE}]+', ' ', 'g'))"
 
 
+# The declared fields of each entity.
+FIELDS = {
+    "products": ["id", "title", "price", "description", "category", "image", "rating.rate", "rating.count"],
+    "users": ["id", "email", "username", "phone", "name.firstname", "name.lastname", "address.city", "address.street", "address.number",
+              "address.zipcode", "address.geolocation.lat", "address.geolocation.long"],
+    "carts": ["id", "userId", "date"],
+}
+
 QUERIES |= {
     "ingest_records": with_(*DELIVERY) + each(
         "SELECT '{e}' AS entity, count(*) AS records, cast(count(*) * (count(*) - 1) // 2 AS bigint) AS pos_sum, "
@@ -303,15 +323,13 @@ SELECT pos, CASE WHEN NOT ({shapeless('users')}) THEN concat_ws(',', 'address',
          'username') END AS field_names,
        CASE WHEN NOT ({shapeless('users')}) THEN {token_text('users', 'username')} END AS username
 FROM users_in"""),
-    "raw_zone_roundtrip": with_(*DELIVERY)
-    + f"SELECT 'products' AS entity, pos, {record('products')} AS rec FROM products_in UNION ALL "
-      f"SELECT 'carts', pos, {record('carts')} FROM carts_in",
+    "ingest_arrays": delivery(" UNION ALL ".join(
+        f"SELECT '{e}' AS entity, {record(e)} AS rec FROM {e}_in" for e in ("products", "users", "carts"))),
+    "raw_zone_roundtrip": delivery(" UNION ALL ".join(
+        f"SELECT '{e}' AS entity, pos, {record(e)} AS rec FROM {e}_in" for e in ("products", "users", "carts"))),
     "incremental_scan": delivery(f"""
 SELECT pos FROM (SELECT *, cast(o_orderdate AS date) + CASE WHEN k % 3 = 2 THEN 1 ELSE 0 END AS day FROM carts_in)
 WHERE ({shapeless('carts')}) OR (c = 0 AND k % 103 = 1) OR day >= DATE '1998-06-29'"""),
-    "processed_roundtrip": delivery(f"""
-SELECT cart_id, product_id, quantity, {money('price_c')} AS unit_price, {money('quantity * price_c')} AS line_total,
-       day AS order_date FROM sold""", SOLD),
     "rejected_rows": delivery(
         " UNION ALL ".join(
             f"SELECT '{e}' AS entity, {REASON} AS reject_reason, {record(e)} AS raw_record FROM {e}_all WHERE why <> '' OR repeated"
@@ -320,12 +338,9 @@ SELECT cart_id, product_id, quantity, {money('price_c')} AS unit_price, {money('
     "zone_partitions": delivery(each(
         "SELECT '{e}' AS entity, DATE '2030-01-01' AS dt, count(*) AS records FROM {e}_all WHERE why <> '' OR repeated")
         + " UNION ALL SELECT 'cart_items', DATE '2030-01-01', count(*) FROM lines_all WHERE reason <> ''"),
-    "flatten_records": delivery("SELECT pos, " + ", ".join(
-        f"CASE WHEN NOT ({shapeless('users')}) THEN {token_text('users', p)} END AS {c}" for p, c in (
-            ("id", "id"), ("name.firstname", "name_firstname"), ("name.lastname", "name_lastname"),
-            ("address.city", "address_city"), ("address.street", "address_street"), ("address.number", "address_number"),
-            ("address.geolocation.lat", "address_geolocation_lat"),
-            ("address.geolocation.long", "address_geolocation_long"))) + " FROM users_in"),
+    "flatten_records": delivery(" UNION ALL ".join(
+        f"SELECT '{e}' AS entity, pos, '{p.replace('.', '_')}' AS field, CASE WHEN NOT ({shapeless(e)}){' AND k % 103 <> 9' if p.startswith('rating') else ''} THEN {field_text(e, p)} END AS value FROM {e}_in"
+        for e, fields in FIELDS.items() for p in fields)),
     "reject_non_object": with_(*DELIVERY) + each(
         "SELECT '{e}' AS entity, pos FROM {e}_why WHERE why = 'record_not_an_object'"),
     "check_required": delivery(single_reasons("missing_required")),
@@ -333,8 +348,10 @@ SELECT cart_id, product_id, quantity, {money('price_c')} AS unit_price, {money('
     "check_ranges": delivery(single_reasons("out_of_range")),
     "check_pattern": delivery(single_reasons("invalid_format")),
     "reject_reasons": with_(*DELIVERY) + each(
-        "SELECT '{e}' AS entity, pos, why AS reject_reason FROM {e}_why WHERE why <> ''"),
-    "dedup_first_wins": with_(*DELIVERY) + each("SELECT '{e}' AS entity, pos FROM {e}_all WHERE repeated"),
+        "SELECT '{e}' AS entity, pos, why AS reject_reason FROM {e}_why WHERE why <> ''")
+        + f" UNION ALL SELECT 'cart_items', {LINE_POS}, why FROM lines_why WHERE why <> ''",
+    "dedup_first_wins": with_(*DELIVERY) + each("SELECT '{e}' AS entity, pos FROM {e}_all WHERE repeated")
+        + f" UNION ALL SELECT 'cart_items', {LINE_POS} FROM lines_all WHERE reason = 'duplicate_key:cart_id+product_id'",
     "explode_cart_lines": delivery("SELECT cart_id, user_id, date_text AS order_date, line, line_text FROM lines_in"),
     "orphan_lines": delivery("SELECT cart_id, line, reason FROM lines_all WHERE reason LIKE 'orphan%'"),
     "validation_counts": delivery("""
@@ -423,9 +440,10 @@ acted AS (
 
 QUERIES |= {
     "insert_if_absent": star("SELECT date_key FROM calendar WHERE day > DATE '1998-06-30'"),
-    "upsert_dim": star("""
-SELECT customer_id, city, customer_id % 10 <> 3 AND customer_id % 7 = 1 AS changed, customer_id % 10 = 3 AS inserted FROM people
-UNION ALL SELECT customer_id + 10000000, city, false, false FROM people WHERE customer_id % 50 = 0"""),
+    "upsert_dim": star(" UNION ALL ".join(f"""
+SELECT '{name}' AS table_name, {key} AS natural_key, {value} AS value, {key} % 10 <> 3 AND {key} % 7 = 1 AS changed, {key} % 10 = 3 AS inserted FROM {table}
+UNION ALL SELECT '{name}', {key} + 10000000, {value}, false, false FROM {table} WHERE {key} % 50 = 0"""
+        for name, key, value, table in (("dim_customer", "customer_id", "city", "people"), ("dim_product", "product_id", "title", "shelf")))),
     "unmapped_fact_rows": star("""
 SELECT count(*) FILTER (customer_id % 19 = 0 OR product_id % 23 = 0 OR strftime(day, '%Y-%m') = '1997-05') AS unmapped,
        count(*) AS staged FROM sales"""),
@@ -466,7 +484,8 @@ bad_shelf AS (
          CASE WHEN product_id % 59 = 0 THEN 60 ELSE tenths END AS tenths FROM shelf WHERE product_id % 23 <> 0),
 bad_days AS (
   SELECT day, date_key, CASE WHEN day(day) = 31 THEN 5 ELSE quarter(day) END AS quarter FROM calendar
-  WHERE year_month <> '1997-05')"""
+  WHERE year_month <> '1997-05'),
+buyers AS (SELECT DISTINCT customer_id, customer_key FROM sales JOIN people USING (customer_id))"""
 
 
 def damaged(body: str) -> str:
@@ -541,7 +560,9 @@ UNION ALL SELECT 'dim_date', cast(count(*) AS varchar), cast(count(*) AS varchar
          "SELECT CASE WHEN (SELECT sum(cents) FROM sales) = (SELECT sum(cents) FROM bad_fact) THEN 0 ELSE 1 END")])),
     "constraint_not_null": damaged(_violations([
         ("dim_customer", "not null", "email", "SELECT count(*) FROM bad_people WHERE email IS NULL"),
-        ("fact_sales", "not null", "product_key", "SELECT count(*) FROM bad_fact WHERE product_key IS NULL")])),
+        ("fact_sales", "not null", "product_key", "SELECT count(*) FROM bad_fact WHERE product_key IS NULL"),
+        ("agg_daily_sales", "not null", "avg_order_value", "SELECT count(DISTINCT day) FROM sales WHERE day(day) % 10 = 1"),
+        ("data_quality_results", "not null", "entity", "SELECT 7")])),
     "constraint_check": damaged(_violations([
         ("dim_date", "check", "quarter between 1 and 4", "SELECT count(*) FROM bad_days WHERE quarter > 4"),
         ("dim_product", "check", "price > 0", "SELECT count(*) FROM bad_shelf WHERE price_c <= 0"),
@@ -549,13 +570,19 @@ UNION ALL SELECT 'dim_date', cast(count(*) AS varchar), cast(count(*) AS varchar
          "SELECT count(*) FROM bad_shelf WHERE price_tier = 'cheap'"),
         ("dim_product", "check", "rating_rate between 0 and 5", "SELECT count(*) FROM bad_shelf WHERE tenths > 50"),
         ("fact_sales", "check", "quantity > 0", "SELECT count(*) FROM bad_fact WHERE quantity <= 0"),
-        ("fact_sales", "check", "unit_price >= 0", "SELECT count(*) FROM bad_fact WHERE price_c < 0")])),
+        ("fact_sales", "check", "unit_price >= 0", "SELECT count(*) FROM bad_fact WHERE price_c < 0"),
+        ("agg_customer_summary", "length", "customer_segment <= 20",
+         "SELECT sum(CASE WHEN customer_key % 41 = 0 THEN 2 ELSE 1 END) FROM buyers WHERE customer_key % 37 = 0"),
+        ("etl_run_audit", "check", "status in (''RUNNING'', ''SUCCESS'', ''FAILED'')", "SELECT 1"),
+        ("data_quality_results", "check", "status in (''PASS'', ''FAIL'', ''WARN'')", "SELECT 4")])),
     "constraint_unique": damaged(_violations([
         ("dim_customer", "unique", "customer_key", _surplus("bad_people", "customer_key")),
         ("dim_customer", "unique", "customer_id", _surplus("bad_people", "customer_id")),
         ("fact_sales", "unique", "sales_key",
          "SELECT count(*) FROM sales WHERE cart_id % 89 = 0"),
-        ("fact_sales", "unique", "cart_id+product_key", _surplus("bad_fact", "cart_id, product_key"))])),
+        ("fact_sales", "unique", "cart_id+product_key", _surplus("bad_fact", "cart_id, product_key")),
+        ("agg_customer_summary", "unique", "customer_key", "SELECT count(*) FROM buyers WHERE customer_key % 41 = 0"),
+        ("etl_run_audit", "unique", "run_id", "SELECT 1")])),
     "constraint_fk": damaged(_violations([
         ("fact_sales", "references dim_customer", "customer_key",
          "SELECT count(*) FROM bad_fact WHERE customer_key NOT IN (SELECT customer_key FROM bad_people)"),
@@ -565,7 +592,8 @@ UNION ALL SELECT 'dim_date', cast(count(*) AS varchar), cast(count(*) AS varchar
         ("agg_daily_sales", "references dim_date", "date_key",
          "SELECT count(DISTINCT day) FROM sales WHERE strftime(day, '%Y-%m') = '1997-05'"),
         ("agg_customer_summary", "references dim_customer", "customer_key",
-         "SELECT count(DISTINCT customer_id) FROM sales WHERE customer_id % 19 = 0")])),
+         "SELECT sum(CASE WHEN customer_key % 41 = 0 THEN 2 ELSE 1 END) FROM buyers WHERE customer_id % 19 = 0"),
+        ("data_quality_results", "references etl_run_audit", "run_id", "SELECT 4")])),
 }
 QUERIES["dq_summary"] = star("SELECT status, checks FROM (SELECT 'PASS' AS status, count(*) FILTER (n = 0) AS checks FROM faults "
                              "UNION ALL SELECT 'WARN', 0 UNION ALL SELECT 'FAIL', count(*) FILTER (n > 0) FROM faults)",
@@ -575,3 +603,82 @@ faults AS (
   UNION ALL SELECT coalesce(({_surplus('bad_shelf', 'product_id')}), 0)
   UNION ALL SELECT coalesce(({_surplus('bad_days', 'date_key')}), 0)
   UNION ALL SELECT count(*) FROM (SELECT 1 FROM bad_fact GROUP BY cart_id, product_key HAVING count(*) > 1))""")
+
+
+QUERIES["processed_roundtrip"] = delivery(f"""
+SELECT 'fact_sales' AS entity, cart_id * 1000000 + product_id AS frame_key,
+       concat_ws('|', quantity, price_c, quantity * price_c, day) AS frame_values FROM sold
+UNION ALL SELECT 'dim_date', date_key, concat_ws('|', full_date, month_name, week_of_year, is_weekend) FROM days
+UNION ALL SELECT 'dim_customer', customer_id, concat_ws('|', email, full_name, street_address, cast(floor(latitude) AS bigint)) FROM people_out
+UNION ALL SELECT 'dim_product', product_id, concat_ws('|', title, category, cast(round(price * 100) AS bigint), price_tier, coalesce(cast(rating_count AS varchar), '-'))
+FROM goods_out""", SOLD, f"days AS ({CALENDAR})", *[
+    f"{name} AS (SELECT * FROM ({QUERIES[query].removeprefix(with_(*DELIVERY))}))" for name, query in (("people_out", "dim_customer"), ("goods_out", "dim_product"))])
+
+# ---------------------------------------------------------------- whole sets of checks
+
+TABLE_ROWS = """
+SELECT 'dim_date' AS entity, count(*) AS table_rows FROM calendar
+UNION ALL SELECT 'dim_customer', count(*) FROM people
+UNION ALL SELECT 'dim_product', count(*) FROM shelf
+UNION ALL SELECT 'fact_sales', count(*) FROM sales
+UNION ALL SELECT 'agg_daily_sales', count(DISTINCT day) FROM sales
+UNION ALL SELECT 'agg_category_sales', count(DISTINCT category) FROM sales JOIN shelf USING (product_id)
+UNION ALL SELECT 'agg_customer_summary', count(DISTINCT customer_id) FROM sales"""
+FRAME_NAMES = ["dim_date", "dim_customer", "dim_product", "fact_sales"]
+AGGREGATE_NAMES = ["agg_daily_sales", "agg_category_sales", "agg_customer_summary"]
+
+
+def _same(check: str, entities: list[str], status: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{check}' AS check_name, '{e}' AS entity, '{status}' AS status" for e in entities)
+
+
+QUERIES["dq_warehouse_schema"] = star(f"""
+SELECT entity, CASE entity WHEN 'dim_product' THEN 'FAIL' ELSE 'PASS' END AS status,
+       CASE entity WHEN 'dim_product' THEN 'missing=[''rating_band'']' ELSE 'missing=[]' END AS actual, table_rows FROM ({TABLE_ROWS})""")
+
+_LOADED = damaged("""
+SELECT 'loaded_row_count' AS check_name, entity, CASE WHEN lost = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+  SELECT 'dim_date' AS entity, count(*) FILTER (year_month = '1997-05') AS lost FROM calendar
+  UNION ALL SELECT 'dim_customer', count(*) FILTER (customer_id % 19 = 0) FROM people
+  UNION ALL SELECT 'dim_product', count(*) FILTER (product_id % 23 = 0) FROM shelf
+  UNION ALL SELECT 'fact_sales', count(*) FILTER (product_id % 23 = 0 OR cart_id % 97 = 0) FROM sales)""")
+
+# nested, as each part brings its own tables
+QUERIES["dq_gate"] = " UNION ALL ".join([
+    f"SELECT 'record_count_reconciliation' AS check_name, entity, status FROM ({QUERIES['dq_record_counts']})",
+    f"SELECT 'reject_ratio_threshold', entity, status FROM ({QUERIES['dq_reject_ratio']})",
+    _same("processed_schema", FRAME_NAMES, "PASS"),
+    *[f"SELECT check_name, entity, status FROM ({QUERIES[q]})" for q in (
+        "dq_null_keys", "dq_duplicate_keys", "dq_business_keys", "dq_orphan_fks", "dq_measures", "dq_line_total", "dq_agg_reconcile")],
+    f"SELECT 'warehouse_schema', entity, status FROM ({QUERIES['dq_warehouse_schema']})",
+    f"SELECT * FROM ({_LOADED})"])
+
+
+def _results(rows: list[tuple[str, str, str, str, str]]) -> str:
+    """(check, entity, expected, actual, details), the last three as SQL."""
+    return " UNION ALL ".join(
+        f"SELECT 'full' AS run_id, '{c}' AS check_name, '{e}' AS entity, 'PASS' AS status, cast({x} AS varchar) AS expected, "
+        f"cast({a} AS varchar) AS actual, {d} AS details" for c, e, x, a, d in rows)
+
+
+def _text(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+_ZERO = [
+    *[(c, n, "0", "0", _text(f"key={FRAME_KEYS[n]}")) for c in ("null_keys", "duplicate_keys") for n in FRAME_NAMES],
+    *[("duplicate_business_keys", n, "0", "0", "''") for n in FRAME_NAMES],
+    *[(c, "fact_sales", "0", "0", "''") for c in ("orphan_customer_fk", "orphan_product_fk", "orphan_date_fk", "non_positive_measures",
+                                                  "line_total_equals_qty_x_price")],
+    ("agg_daily_revenue_reconciles", "agg_daily_sales", "0", "0", "''"), ("agg_category_revenue_reconciles", "agg_category_sales", "0", "0", "''"),
+    *[("processed_schema", n, _text(FRAME_COLUMNS[n]), _text(FRAME_COLUMNS[n]), "''") for n in FRAME_NAMES],
+    *[("warehouse_schema", n, "'all expected columns'", "'missing=[]'", "''") for n in [*FRAME_NAMES, *AGGREGATE_NAMES]],
+]
+QUERIES["dq_results"] = delivery(f"""
+SELECT 'full' AS run_id, 'record_count_reconciliation' AS check_name, entity, 'PASS' AS status, cast(input_count AS varchar) AS expected,
+       cast(input_count AS varchar) AS actual, printf('valid=%d rejected=%d', valid_count, input_count - valid_count) AS details FROM counts
+UNION ALL SELECT 'full', 'reject_ratio_threshold', entity, 'PASS', '<= 50%', printf('%.1f%%', 100 * (input_count - valid_count) / input_count),
+       printf('%d/%d rejected', input_count - valid_count, input_count) FROM counts
+UNION ALL SELECT 'full', 'loaded_row_count', entity, 'PASS', cast(frame_rows AS varchar), cast(frame_rows AS varchar), '' FROM ({
+    QUERIES['processed_schema'].removeprefix(with_(*DELIVERY, SOLD))})
+UNION ALL {_results(_ZERO)}""", COUNTS, SOLD)

@@ -47,6 +47,18 @@ def ingest_records(spark, d):
     return _each(spark, d, one)
 
 
+def ingest_arrays(spark, d):
+    """The deliveries as files that each hold one JSON array, read back by splits: every record with its own text."""
+    def one(entity):
+        path = scratch_path(spark, f"{entity}_arrays")
+        rows = m.deliveries(spark, d)[entity]
+        files = rows.groupBy(F.col("pos") % 5).agg(F.sort_array(F.collect_list(F.struct("pos", "rec"))).alias("r"))
+        text = F.concat(F.lit("[ "), F.array_join(F.transform("r", lambda r: r["rec"]), " ,\n "), F.lit("]"))
+        files.select(text.alias("value")).repartition(5).write.text(path)
+        return records.read_json_arrays(spark, path).select("rec")
+    return _each(spark, d, one)
+
+
 def redact_fields(spark, d):
     out = records.redact(m.deliveries(spark, d)["users"])
     return out.select(
@@ -59,7 +71,7 @@ def raw_zone_roundtrip(spark, d):
     def one(entity):
         zones.write_raw(m.deliveries(spark, d)[entity], root, entity, "r", m.LAST_DAY, entity)
         return zones.read_raw(spark, root, entity, "r", m.LAST_DAY)
-    return _each(spark, d, one, ("products", "carts"))
+    return _each(spark, d, one)
 
 
 def incremental_scan(spark, d):
@@ -68,10 +80,19 @@ def incremental_scan(spark, d):
 
 
 def processed_roundtrip(spark, d):
-    root = scratch_path(spark, "processed")
-    zones.write_processed({"fact_sales": m.dirty_frames(spark, d)["fact_sales"]}, root, "r", m.LAST_DAY, "csv")
-    rows = zones.read_processed(spark, root, "fact_sales", "r", m.LAST_DAY, "csv")
-    return rows.select("cart_id", "product_id", "quantity", "unit_price", "line_total", "order_date")
+    """All four frames as CSV and back: key and some values of every row."""
+    root, frames = scratch_path(spark, "processed"), m.dirty_frames(spark, d)
+    zones.write_processed(frames, root, "r", m.LAST_DAY, "csv")
+    cents = lambda c: (F.col(c) * 100).cast("bigint")
+    wanted = {
+        "dim_date": ("date_key", F.concat_ws("|", "full_date", "month_name", "week_of_year", "is_weekend")),
+        "dim_customer": ("customer_id", F.concat_ws("|", "email", "full_name", "street_address", F.col("latitude").cast("bigint"))),
+        "dim_product": ("product_id", F.concat_ws("|", "title", "category", cents("price"), "price_tier", F.coalesce(F.col("rating_count").cast("string"), F.lit("-")))),
+        "fact_sales": (F.col("cart_id") * 1_000_000 + F.col("product_id"), F.concat_ws("|", "quantity", cents("unit_price"), cents("line_total"), "order_date"))}
+    return checks.union_all([
+        zones.read_processed(spark, root, name, "r", m.LAST_DAY, "csv").select(
+            F.lit(name).alias("entity"), (F.col(key) if isinstance(key, str) else key).cast("bigint").alias("frame_key"), label.alias("frame_values"))
+        for name, (key, label) in wanted.items()])
 
 
 @m.once
@@ -99,12 +120,23 @@ def rule_rows(spark, d) -> dict[str, DataFrame]:
     return {e: materialize(validate.check_records(got[e], e).select("pos", "reasons"), f"{e}_rules") for e in got}
 
 
+@m.once
+def line_rows(spark, d) -> DataFrame:
+    """Cart lines after their own rules, before keys and references."""
+    lines = validate.check_lines(validate.explode_lines(m.checked(spark, d)["carts"].valid))
+    return materialize(lines.select((F.col("cart_id") * 1_000_000 + F.col("line")).alias("pos"), "reasons"), "line_rules")
+
+
 def flatten_records(spark, d):
-    parsed = m.deliveries(spark, d)["users"].select("pos", F.try_parse_json("rec").alias("v"))
-    flat = validate.flatten(parsed, "users", F.col("v"), ["pos"])
-    names = ["id", "name_firstname", "name_lastname", "address_city", "address_street", "address_number",
-             "address_geolocation_lat", "address_geolocation_long"]
-    return flat.select("pos", *[F.col(f"{n}__text").alias(n) for n in names])
+    """All declared fields of every entity, one row per field."""
+    out = []
+    for entity in ("products", "users", "carts"):
+        parsed = m.deliveries(spark, d)[entity].select("pos", F.try_parse_json("rec").alias("v"))
+        flat = validate.flatten(parsed, entity, F.col("v"), ["pos"])
+        names = [c.removesuffix("__text") for c in flat.columns if c.endswith("__text") and c != "products__text"]
+        fields = F.inline(F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"{n}__text").alias("value")) for n in names]))
+        out.append(flat.select(F.lit(entity).alias("entity"), "pos", fields))
+    return checks.union_all(out)
 
 
 def reject_non_object(spark, d):
@@ -114,21 +146,23 @@ def reject_non_object(spark, d):
 
 def _rule(prefix: str) -> Query:
     def query(spark, d):
-        rows = rule_rows(spark, d)
+        rows = rule_rows(spark, d) | {"cart_items": line_rows(spark, d)}
         return _each(spark, d, lambda e: rows[e].select("pos", F.explode(F.split("reasons", validate.SEPARATOR)).alias("reason"))
-                     .filter(F.col("reason").startswith(prefix)))
+                     .filter(F.col("reason").startswith(prefix)), rows)
     return query
 
 
 def reject_reasons(spark, d):
-    rows = rule_rows(spark, d)
+    rows = rule_rows(spark, d) | {"cart_items": line_rows(spark, d)}
     return _each(spark, d, lambda e: rows[e].filter(F.col("reasons") != "")
-                 .select("pos", F.col("reasons").alias("reject_reason")))
+                 .select("pos", F.col("reasons").alias("reject_reason")), rows)
 
 
 def dedup_first_wins(spark, d):
     rows = m.checked(spark, d)
-    return _each(spark, d, lambda e: rows[e].rows.filter(F.col("reasons") == "duplicate_key:id").select("pos"))
+    lines = rows["cart_items"].rows.filter(F.col("reasons") == "duplicate_key:cart_id+product_id")
+    return _each(spark, d, lambda e: rows[e].rows.filter(F.col("reasons") == "duplicate_key:id").select("pos")).unionByName(
+        lines.select(F.lit("cart_items").alias("entity"), (F.col("cart_id") * 1_000_000 + F.col("line")).alias("pos")))
 
 
 def explode_cart_lines(spark, d):
@@ -205,16 +239,19 @@ def insert_if_absent(spark, d):
 
 
 def upsert_dim(spark, d):
-    batch, old = m.clean_frames(spark, d)["dim_customer"], m.published(spark, d)["dim_customer"]
-    i = F.col("customer_id")
-    existing = old.filter(i % 10 != 3).withColumn("city", F.when(i % 7 == 1, "Elsewhere").otherwise(F.col("city"))).unionByName(
-        old.filter(i % 50 == 0).withColumn("customer_id", i + 10_000_000))
-    attributes = [c for c in batch.columns if c != "customer_id"]
-    now = F.lit("2031-01-01").cast("timestamp")
-    kept = upsert.apply_changes(existing, batch, "customer_id", attributes, now)
-    fresh = upsert.insert_absent(existing, batch, ["customer_id"])
-    return kept.select("customer_id", "city", (F.col("updated_at") == now).alias("changed"), F.lit(False).alias("inserted")).unionByName(
-        fresh.select("customer_id", "city", F.lit(False).alias("changed"), F.lit(True).alias("inserted")))
+    """Both dimensions against a table that lacks some rows, has some changed and some that the batch does not mention."""
+    out, now = [], F.lit("2031-01-01").cast("timestamp")
+    for name, key, changed in (("dim_customer", "customer_id", "city"), ("dim_product", "product_id", "title")):
+        batch, old, i = m.clean_frames(spark, d)[name], m.published(spark, d)[name], F.col(key)
+        existing = old.filter(i % 10 != 3).withColumn(changed, F.when(i % 7 == 1, "Elsewhere").otherwise(F.col(changed))).unionByName(
+            old.filter(i % 50 == 0).withColumn(key, i + 10_000_000))
+        attributes = [c for c in batch.columns if c != key]
+        kept = upsert.apply_changes(existing, batch, key, attributes, now)
+        fresh = upsert.insert_absent(existing, batch, [key])
+        shown = [F.lit(name).alias("table_name"), i.alias("natural_key"), F.col(changed).alias("value")]
+        out += [kept.select(*shown, (F.col("updated_at") == now).alias("changed"), F.lit(False).alias("inserted")),
+                fresh.select(*shown, F.lit(False).alias("changed"), F.lit(True).alias("inserted"))]
+    return checks.union_all(out)
 
 
 def unmapped_fact_rows(spark, d):
@@ -331,6 +368,14 @@ def damaged_tables(spark, d) -> dict[str, DataFrame]:
         "rating_rate": when("product_id % 59 = 0", "cast(6 as decimal(3,2))", "rating_rate"),
     })
     t["dim_date"] = t["dim_date"].filter("year_month <> '1997-05'").withColumn("quarter", when("day = 31", "5", "quarter"))
+    t["agg_daily_sales"] = t["agg_daily_sales"].withColumn("avg_order_value", F.when(F.expr("date_key % 10 <> 1"), F.col("avg_order_value")))
+    t["agg_customer_summary"] = _twice(t["agg_customer_summary"].withColumn(
+        "customer_segment", when("customer_key % 37 = 0", "repeat('x', 21)", "customer_segment")), "customer_key % 41 = 0")
+    logs = _full_warehouse(spark, d).tables()
+    t["etl_run_audit"] = logs["etl_run_audit"].unionByName(logs["etl_run_audit"].withColumn("status", F.lit("DONE")))
+    t["data_quality_results"] = logs["data_quality_results"].withColumns({
+        "run_id": when("check_name = 'null_keys'", "'lost'", "run_id"), "status": when("check_name = 'duplicate_keys'", "'OK'", "status"),
+        "entity": F.when(F.expr("check_name <> 'warehouse_schema'"), F.col("entity"))})
     return t
 
 
@@ -359,11 +404,16 @@ def dq_reject_ratio(spark, d):
     return checks.reject_ratio(validation_counts(spark, d), 0.30).select("entity", "actual", "status")
 
 
+def _without_band(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return t | {"dim_product": t["dim_product"].drop("rating_band")}
+
+
 def dq_warehouse_schema(spark, d):
-    return checks.table_schemas(spark, m.published(spark, d)).join(
-        checks.union_all([m.published(spark, d)[n].agg(F.lit(n).alias("entity"), F.count("*").alias("table_rows"))
+    t = _without_band(m.published(spark, d))
+    return checks.table_schemas(spark, t).join(
+        checks.union_all([t[n].agg(F.lit(n).alias("entity"), F.count("*").alias("table_rows"))
                           for n in ("dim_date", "dim_customer", "dim_product", "fact_sales", *AGGREGATES)]), "entity"
-    ).select("entity", "status", "table_rows")
+    ).select("entity", "status", "actual", "table_rows")
 
 
 def dq_loaded_rows(spark, d):
@@ -380,10 +430,10 @@ def dq_agg_reconcile(spark, d):
 
 
 def dq_gate(spark, d):
-    """All checks of a run over the clean star: 20 before the load, 22 after it."""
-    frames, t = m.clean_frames(spark, d), m.published(spark, d)
-    states = months.month_states(t["fact_sales"], t)
-    found = checks.before_load(validation_counts(spark, d), frames, 0.5).unionByName(checks.after_load(spark, frames, t, states))
+    """All checks of a run over damaged frames and tables: 20 before the load, 22 after it."""
+    t = damaged_tables(spark, d)
+    found = checks.before_load(validation_counts(spark, d), damaged_frames(spark, d), 0.3).unionByName(
+        checks.after_load(spark, m.clean_frames(spark, d), _without_band(t), months.month_states(t["fact_sales"], t)))
     return found.select("check_name", "entity", "status")
 
 
@@ -397,6 +447,7 @@ def _broken(build) -> Query:
 
 QUERIES: dict[str, Query] = {
     "ingest_records": ingest_records,
+    "ingest_arrays": ingest_arrays,
     "redact_fields": redact_fields,
     "raw_zone_roundtrip": raw_zone_roundtrip,
     "incremental_scan": incremental_scan,
