@@ -38,3 +38,9 @@ def text_key(text: Column) -> Column:
 def fold_case(text: Column) -> Column:
     """A-Z to a-z, nothing else; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def one_text(rows: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text and further columns of a few chosen documents: of several texts of one id always the same one."""
+    first = F.min(F.struct(F.xxhash64("text").alias("order"), "text", *more))
+    return rows.groupBy("doc_id").agg(first.alias("first")).select("doc_id", "first.text", *[f"first.{c}" for c in more])

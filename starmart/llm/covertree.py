@@ -9,10 +9,12 @@ is measured over all vectors below it, so the bounds hold for all rows although
 The dual traversal starts with the root against itself and drops pairs of nodes whose centres are further apart
 than both covering radii and the searched distance; what is left are pairs of leaves. Leaves are
 packed into blocks of about BLOCK vectors, large leaves split into several, and each pair of blocks that holds
-a pair of leaves is one row of work: one matrix product in single precision, decided in double precision wherever
+a pair of leaves is one row of work, made by Spark from the pairs of leaves: one matrix product in single precision, decided in double precision wherever
 a value comes near the threshold. A pair of blocks returns sums of links per vector and edges that span its
 components, never the pairs themselves.
 
+Equal vectors are folded to one with a weight first.
+
 Vectors that are null, zero, or hold null or non-finite components link with nothing; vectors of different
 length do not link. Each row is a vector, also where rows repeat; a null vec_id is no smallest id, and such a row is
 kept only if it says so itself (never). Extra columns are ignored; an empty table gives an empty result.
@@ -32,8 +34,9 @@ from starmart.session import materialize
 
 COSINE = 0.9
 SAMPLE = 1024
-BLOCK = 2048
+BLOCK = 4096
 SLACK = 1e-4             # for single precision
+CHUNK = 1 << 14          # pairs of nodes measured at once
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -70,20 +73,26 @@ def traverse(points: np.ndarray, levels, leaf_radius: np.ndarray, within: float)
         covering = np.full(len(above), -1.0)
         np.maximum.at(covering, parent[radii[0] >= 0], reach[radii[0] >= 0])
         radii.insert(0, covering)
-    pairs = np.array([[0, 0]])
+    a = b = np.zeros(1, np.int64)
     for depth, (_, centres, parent) in enumerate(levels):
         if depth:
+            # every child of a with every child of b, each pair once
             order = np.argsort(parent, kind="stable")
             first = np.searchsorted(parent[order], np.arange(len(levels[depth - 1][1]) + 1))
-            children = [order[first[i]:first[i + 1]] for i in range(len(first) - 1)]
-            pairs = np.concatenate([np.stack(np.meshgrid(children[a], children[b], indexing="ij"), -1).reshape(-1, 2)
-                                    for a, b in pairs.tolist()])
-            pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        a, b = pairs.T
-        r = radii[depth]
-        apart = np.linalg.norm(points[centres[a]] - points[centres[b]], axis=1)
-        pairs = pairs[(r[a] >= 0) & (r[b] >= 0) & (apart <= r[a] + r[b] + within + SLACK)]
-    return pairs
+            size = np.diff(first)
+            each = size[a] * size[b]
+            pair = np.repeat(np.arange(len(a)), each)
+            within_pair = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+            left, right = order[first[a][pair] + within_pair // size[b][pair]], order[first[b][pair] + within_pair % size[b][pair]]
+            both = np.unique(np.minimum(left, right) * len(centres) + np.maximum(left, right))
+            a, b = both // len(centres), both % len(centres)
+        r, kept = radii[depth], np.zeros(len(a), bool)
+        for i in range(0, len(a), CHUNK):
+            x, y = a[i:i + CHUNK], b[i:i + CHUNK]
+            apart = np.linalg.norm(points[centres[x]] - points[centres[y]], axis=1)
+            kept[i:i + CHUNK] = (r[x] >= 0) & (r[y] >= 0) & (apart <= r[x] + r[y] + within + SLACK)
+        a, b = a[kept], b[kept]
+    return np.stack([a, b], axis=1)
 
 
 def packed(sizes: np.ndarray, block: int) -> list[list[tuple[int, int]]]:
@@ -142,15 +151,16 @@ def _work(cosine: float):
                 sides = []
                 for side in "ab":
                     ids = batch.column(f"{side}_ids")[row].values.to_numpy(zero_copy_only=False)
+                    weights = batch.column(f"{side}_n")[row].values.to_numpy(zero_copy_only=False)
                     flat = batch.column(f"{side}_flat")[row].values.to_numpy(zero_copy_only=False)
-                    sides.append((ids, flat.reshape(len(ids), -1)))
-                (a_ids, a), (b_ids, b) = sides
+                    sides.append((ids, weights, flat.reshape(len(ids), -1).astype(float)))
+                (a_ids, a_n, a), (b_ids, b_n, b) = sides
                 rows, cols, links = _linked(a, b, cosine, left == right)
                 if not links.any():
                     continue
                 # within one block a row and a column are the same vector
                 of_row, of_col = _spanning(links | (rows[:, None] == cols[None, :]) if left == right else links)
-                by_row, by_col = links.sum(axis=1), links.sum(axis=0)
+                by_row, by_col = links @ b_n[cols], links.T @ a_n[rows]
                 some = by_col > 0
                 rid, n, root = a_ids[rows], by_row, a_ids[rows[of_row]]
                 if left != right:
@@ -162,7 +172,8 @@ def _work(cosine: float):
 
 
 def _tree_links(vectors: DataFrame, cosine: float, sample: int, block: int) -> DataFrame:
-    """rid, vector (all valid and of one length) -> rid, n (links), root (a vector connected to it), in parts."""
+    """rid, n (how often it occurs), vector (all different, valid and of one length) -> rid, n (links), root (a vector
+    connected to it), in parts."""
     spark, within = vectors.sparkSession, float(np.sqrt(2 - 2 * cosine))
     some = vectors.orderBy(F.xxhash64("rid"), "rid").limit(sample).toPandas()
     points = unit(np.stack(some["vector"].to_list()).astype(float))
@@ -177,26 +188,30 @@ def _tree_links(vectors: DataFrame, cosine: float, sample: int, block: int) -> D
             x = unit(batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1))
             far = _distances(x, shared.value)
             leaf = far.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(leaf, pa.int32()), pa.array(far[np.arange(len(x)), leaf]), batch.column("vector")],
-                                             ["rid", "leaf", "far", "vector"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), batch.column("n"), pa.array(leaf, pa.int32()), pa.array(far[np.arange(len(x)), leaf]), batch.column("vector")],
+                ["rid", "n", "leaf", "far", "vector"])
 
-    placed = materialize(vectors.mapInArrow(assign, "rid long, leaf int, far double, vector array<double>"), "tree_placed")
+    kind = vectors.schema["vector"].dataType.simpleString()
+    placed = materialize(vectors.mapInArrow(assign, f"rid long, n long, leaf int, far double, vector {kind}"), "tree_placed")
     seen = placed.groupBy("leaf").agg(F.max("far").alias("far"), F.count("*").alias("n")).toPandas()
     radius, sizes = np.full(len(leaves), -1.0), np.zeros(len(leaves), int)
     radius[seen["leaf"]], sizes[seen["leaf"]] = seen["far"], seen["n"]
     pairs = traverse(points, levels, radius, within)
-    blocks = packed(sizes, block)
-    where = spark.createDataFrame([(i, at, n) for i, (at, n) in enumerate(blocks)], "leaf int, at int, parts int")
-    work = {(x, y) if x <= y else (y, x) for a, b in pairs.tolist()
-            for x in range(blocks[a][0], sum(blocks[a])) for y in range(blocks[b][0], sum(blocks[b]))}
-    todo = spark.createDataFrame(sorted(work), "a int, b int")
+    # at most `sample` leaves and their pairs are known here; what pairs of blocks these make is worked out by Spark
+    where = spark.createDataFrame([(i, at, n) for i, (at, n) in enumerate(packed(sizes, block))], "leaf int, at int, parts int")
+    near = spark.createDataFrame(pa.table({"a_leaf": pa.array(pairs[:, 0], pa.int32()), "b_leaf": pa.array(pairs[:, 1], pa.int32())}))
+    spread = lambda side: F.explode(F.sequence(f"{side}_at", F.col(f"{side}_at") + F.col(f"{side}_parts") - 1)).alias(side)
+    for side in "ab":
+        near = near.join(where.select(*[F.col(c).alias(f"{side}_{c}") for c in where.columns]), f"{side}_leaf")
+    todo = near.select(spread("a"), "b_at", "b_parts").select("a", spread("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     whole = materialize(
         placed.join(F.broadcast(where), "leaf").withColumn("block", F.col("at") + F.pmod(F.xxhash64(F.lit(3), "rid"), "parts").cast("int"))
-        .groupBy("block").agg(F.collect_list(F.struct("rid", "vector")).alias("v"))
-        .select("block", F.col("v.rid").alias("ids"), F.flatten("v.vector").alias("flat")), "tree_blocks")
-    a = whole.select(F.col("block").alias("a"), F.col("ids").alias("a_ids"), F.col("flat").alias("a_flat"))
-    b = whole.select(F.col("block").alias("b"), F.col("ids").alias("b_ids"), F.col("flat").alias("b_flat"))
-    rows = todo.join(a, "a").join(b, "b").select("a", "b", "a_ids", "a_flat", "b_ids", "b_flat")
+        .groupBy("block").agg(F.collect_list(F.struct("rid", "n", "vector")).alias("v"))
+        .select("block", F.col("v.rid").alias("ids"), F.col("v.n").alias("n"), F.flatten("v.vector").alias("flat")), "tree_blocks")
+    a, b = (whole.select(F.col("block").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("ids", "n", "flat")]) for s in "ab")
+    rows = todo.join(a, "a").join(b, "b")
     return materialize(rows.mapInArrow(_work(cosine), "rid long, n long, root long"), "tree_links")
 
 
@@ -204,19 +219,28 @@ def report(embeddings: DataFrame, cosine: float = COSINE, sample: int = SAMPLE,
     """vec_id, n_links, component_id, kept of every vector."""
     x = F.col("embedding")
     valid = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf"))) & F.exists(x, lambda v: v != 0)
-    rows = materialize(embeddings.select("vec_id", x.cast("array<double>").alias("vector"), F.coalesce(valid, F.lit(False)).alias("valid"))
-                       .withColumn("rid", F.monotonically_increasing_id()), "tree_rows")
-    good = rows.where("valid")
+    single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    vector = x if single else x.cast("array<double>")
+    rows = materialize(
+        embeddings.select("vec_id", vector.alias("vector"), F.coalesce(valid, F.lit(False)).alias("valid"))
+        .withColumns({"rid": F.monotonically_increasing_id(), "k1": F.xxhash64(F.lit(1), "vector"), "k2": F.xxhash64(F.lit(2), "vector")}), "tree_rows")
+    # equal vectors (by 128 bits) become one with a weight, so that a group of copies is one vector however large
+    distinct = materialize(rows.where("valid").groupBy("k1", "k2").agg(
+        F.min("rid").alias("rep"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")), "tree_distinct")
+    alone = rows.where("not valid").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                                           F.col("vec_id").isNotNull().alias("kept"))
     links = None
-    for r in good.select(F.size("vector").alias("d")).distinct().sort("d").collect():     # one length as a rule
-        part = _tree_links(good.where(F.size("vector") == r["d"]).select("rid", "vector"), cosine, sample, block)
+    for r in distinct.select(F.size("vector").alias("d")).distinct().sort("d").collect():     # one length as a rule
+        some = distinct.where(F.size("vector") == r["d"]).select(F.col("rep").alias("rid"), F.col("copies").alias("n"), "vector")
+        part = _tree_links(some, cosine, sample, block)
         links = part if links is None else links.unionByName(part)
     if links is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    n = links.groupBy("rid").agg(F.sum("n").alias("n_links"))
-    roots = components(links.select(F.col("rid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "rid")
-    joined = materialize(rows.select("rid", "vec_id").join(n, "rid", "left").join(roots, "rid", "left")
-                         .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rid").alias("root")), "tree_joined")
+        return alone
+    n = links.groupBy(F.col("rid").alias("rep")).agg(F.sum("n").alias("n"))
+    roots = components(links.select(F.col("rid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "rep")
+    told = distinct.select("k1", "k2", "rep", "copies").join(n, "rep", "left").join(roots, "rep", "left").select(
+        "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
+    joined = materialize(rows.where("valid").select("vec_id", "k1", "k2").join(told, ["k1", "k2"]).select("vec_id", "n_links", "root"), "tree_joined")
     least = joined.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     return joined.join(least, "root").select("vec_id", "n_links", "component_id",
-                                             F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+                                             F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")).unionByName(alone)

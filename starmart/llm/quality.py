@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.llm.common import one_text
 from starmart.llm.words import SPACED, Words, slices, utf8
 
 SAMPLE = 5000
@@ -126,7 +127,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS) -> tup
 
 def sample(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
     """The features of the documents with the doc_ids of `chosen`, which is of a fixed size."""
-    one_each = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text")
+    one_each = one_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
     def run(batches):
         for batch in slices(batches):

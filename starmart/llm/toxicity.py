@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.llm.common import one_text
 from starmart.llm.words import BASE, LETTERS, Words, mix, slices, span_codes
 
 BITS = 20
@@ -97,8 +98,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
     for label in (0, 1):
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    one_each = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    rows = places(one_each.select("text", "label")).toPandas()
+    one_each = one_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "label")
+    # the order of learning is that of the ids, not that in which tasks end
+    rows = places(one_each).toPandas().sort_values("doc_id", ignore_index=True)
     y = rows["label"].to_numpy(int)
     if len(set(y)) < 2:
         share = float(y.mean()) if len(y) else 0.0

@@ -55,6 +55,16 @@ def test_toxicity(documents, spark):
     assert accuracy(rows, dict(labels)) > 0.95 and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_the_same_model_however_rows_are_dealt(documents, spark):
+    """Other partitions, another order, and ids with several texts: the scores stay."""
+    docs, labels, _ = shop(documents, spark, lambda t, p: f"{t} {p.choice(['nastyword', 'foulness'])}", lambda t, p: t, n=150)
+    twice = docs.unionByName(docs.where("doc_id % 5 = 0").selectExpr("doc_id", "concat(text, ' again') AS text", *docs.columns[2:]))
+    known = spark.createDataFrame([(i, 1 - m, m) for i, m in labels], "doc_id long, quality int, toxic int")
+    for report in (quality.report, toxicity.report):
+        want = sorted(map(tuple, report(twice.coalesce(1), known).collect()))
+        assert want == sorted(map(tuple, report(twice.orderBy("n_chars").repartition(7), known.repartition(3)).collect()))
+
+
 def test_odd_rows(odd, spark):
     known = spark.createDataFrame([(4, 1, 0), (4, 1, 1), (5, 0, 1), (6, 1, 0), (7, 1, None), (8, 1, 0), (None, 1, 1), (99, 1, 1), (2, 1, 0)],
                                   "doc_id long, quality int, toxic int")

@@ -30,6 +30,16 @@ def test_against_all_pairs(spark, sample, block):
         i: (int(linked[i].sum()) - 1, want[i], want[i] == i) for i in range(len(x))}
 
 
+def test_a_third_of_all_rows_are_copies(spark):
+    """Copies become one weighted vector; blocks are smaller than the group would be."""
+    x = np.array([*clouds(2)[:80], *[clouds(2)[3]] * 40]).astype(np.float32)
+    u = covertree.unit(x.astype(float))
+    linked = u @ u.T >= 0.9
+    want = brute_components({i: i for i in range(len(x))}, lambda a, b: linked[a, b])
+    got = covertree.report(frame(spark, list(enumerate(x))), sample=20, block=9).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(linked[i].sum()) - 1, want[i]) for i in range(len(x))}
+
+
 def test_odd_rows(spark):
     one = [1.0, 2.0, 3.0]
     rows = [(1, None), (2, []), (3, [0, 0, 0]), (4, [1, None, 2]), (5, [1, float("nan"), 2]), (6, [float("inf"), 1, 1]),
