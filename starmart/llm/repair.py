@@ -194,7 +194,7 @@ def _annotated(rows: DataFrame) -> DataFrame:
     a, b = rows.alias("a"), again.alias("b")
     same = F.col("a.conv_id").eqNullSafe(F.col("b.conv_id")) & (F.col("a.role") == F.col("b.role")) & (F.col("a.digest") == F.col("b.digest"))
     later = F.struct(F.col("a.turn").isNotNull().alias("given"), F.col("a.turn").alias("turn")) > F.col("b.first")
-    return a.join(b, same, "left").select("a.*", F.coalesce(later, F.lit(False)).alias("later"))
+    return a.join(b, same, "left").select("a.*", F.coalesce(later, F.lit(False)).alias("later")).drop("digest")
 
 
 def _piece_schema(conv: str) -> str:
@@ -208,7 +208,7 @@ def pieces(rows: DataFrame, size: int = PIECE) -> DataFrame:
     faults: blank, duplicate, truncated, illegal pairs inside, distinct turns; turns: the first and the last that is not null;
     ends: the initials of the first and the last row.
     """
-    keys = ["conv_id", "turn", "role", "digest"]
+    keys = ["conv_id", "turn", "role", "text"]
     ordered = _annotated(rows).repartitionByRange(*keys).sortWithinPartitions(*keys)
     schema = _piece_schema(rows.schema["conv_id"].dataType.simpleString())
 

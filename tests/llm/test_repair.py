@@ -27,7 +27,7 @@ def plain_damage(rows):
 
 def plain(rows):
     """gaps, blank, duplicate, truncated, illegal, cost, audit, digest of one conversation after damage."""
-    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.md5(r[3].encode()).hexdigest()))
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
     seen, faults = set(), []
     for _, _, role, text in rows:
         bare = text.rstrip(WHITE)
