@@ -425,6 +425,7 @@ UNION ALL SELECT 'agg_category_sales', count(DISTINCT lower(p_type)) FROM sold J
 UNION ALL SELECT 'agg_customer_summary', count(DISTINCT user_id) FROM sold""", SOLD),
 }
 QUERIES["incremental_load"] = QUERIES["end_to_end_load"]
+QUERIES["landed_scan"] = QUERIES["incremental_scan"]
 
 # ---------------------------------------------------------------- upserts on the clean star
 

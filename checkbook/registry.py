@@ -79,6 +79,14 @@ def incremental_scan(spark, d):
     return records.carts_since(m.deliveries(spark, d)["carts"], since, m.LAST_DAY).select("pos")
 
 
+def landed_scan(spark, d):
+    """The same carts, sorted into day folders when they land."""
+    root = scratch_path(spark, "landed")
+    records.land(m.deliveries(spark, d)["carts"], root, "carts")
+    since = records.since_day(m.FIRST_HALF, 1, False)
+    return records.carts_since(records.landed(spark, root, "carts"), since, m.LAST_DAY).select("pos")
+
+
 def processed_roundtrip(spark, d):
     """All four frames as CSV and back: key and some values of every row."""
     root, frames = scratch_path(spark, "processed"), m.dirty_frames(spark, d)
@@ -451,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "redact_fields": redact_fields,
     "raw_zone_roundtrip": raw_zone_roundtrip,
     "incremental_scan": incremental_scan,
+    "landed_scan": landed_scan,
     "processed_roundtrip": processed_roundtrip,
     "rejected_rows": rejected_rows,
     "zone_partitions": zone_partitions,

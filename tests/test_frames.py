@@ -171,6 +171,20 @@ def test_since_day():
     assert src.since_day(date(2020, 3, 10), 1, True) is None and src.since_day(None, 1, False) is None
 
 
+def test_landed_carts_are_read_by_day(spark, tmp_path):
+    """Two deliveries; the second one's positions come later. Only wanted days and the undated folder are opened."""
+    rows = [{"id": 1, "date": "2020-03-01T00:00:00Z"}, {"id": 2, "date": "2020-03-02T23:30:00-05:00"}, {"id": 3}, '"junk"']
+    src.land(records(spark, rows), str(tmp_path), "carts")
+    src.land(records(spark, [{"id": 4, "date": "2020-03-05"}, {"id": 5, "date": "2020-02-01"}]), str(tmp_path), "carts", start=100)
+    carts = src.landed(spark, str(tmp_path), "carts")
+    got = src.carts_since(carts, date(2020, 3, 2), date(2020, 3, 5))
+    assert sorted(r["pos"] for r in got.collect()) == [1, 2, 3, 100]
+    assert sorted(r["pos"] for r in src.carts_since(carts, None, date(2020, 3, 5)).collect()) == [0, 1, 2, 3, 100, 101]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "day" in filters and "undated" in filters
+
+
 def test_zone_layout(spark, tmp_path):
     assert zones.zone_path("s3a://bucket/pre/", "raw", "users", date(2024, 1, 2)) == "s3a://bucket/pre/raw/users/dt=2024-01-02"
     with pytest.raises(ValueError):
