@@ -37,9 +37,9 @@ from starmart.session import materialize
 
 LEVEL_BITS = 20
 ROUNDS = 2
-PARITY = 16              # long columns of 64 parity bits each
-EARLY = 4                # of these, the ones that postings carry
+EARLY = 4                # long columns of 64 parity bits each, that postings carry; a power of two
 SHORT = 16
+MASK_BITS = 23           # slots of the mask of documents whose texts are read again
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,10 @@ def _slots(codes: np.ndarray) -> np.ndarray:
     return (mix(codes) >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)
 
 
+def _slot(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit((1 << MASK_BITS) - 1))
+
+
 def commonness(docs: DataFrame, k: int) -> np.ndarray:
     """For each of 2**LEVEL_BITS slots how common its shingles are, as a power of two; 0 for most."""
     def count(batches):
@@ -90,8 +94,17 @@ def commonness(docs: DataFrame, k: int) -> np.ndarray:
     return levels
 
 
+def _parity(codes: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row how often its codes fall on each of at least n places, as parity bits: longs of all rows, and where a row's begin."""
+    longs = np.left_shift(1, np.ceil(np.log2(np.maximum(n / 64, EARLY))).astype(np.int64))
+    held = np.concatenate(([0], np.cumsum(longs)))
+    place = held[row] * 64 + (codes & (longs[row] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place, minlength=int(held[-1]) * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64), held
+
+
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, tk (key of the text), n, sk (key of the set), gk (key of the group), prefix, s0.. (parity) of each document."""
+    """doc_id, tk (key of the text), n, sk (key of the set), gk (key of the group), prefix, bits and s0.. (parity) of each document."""
     levels = docs.sparkSession.sparkContext.broadcast(commonness(docs, rule.k))
     k, num, den = rule.k, rule.num, rule.den
 
@@ -106,20 +119,20 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
             at = np.arange(len(codes)) - np.repeat(first[:-1], n)
             prefix = ordered[at < np.repeat(length, n)]
             starts = np.concatenate(([0], np.cumsum(length)))
-            bits = np.zeros((len(n), PARITY * 64), np.int64)
-            np.add.at(bits, (row, (codes % np.uint64(PARITY * 64)).astype(np.int64)), 1)
-            packed = np.packbits((bits & 1).astype(np.uint8), axis=1).view(np.int64)
+            bits, held = _parity(codes, row, n)
+            early = np.bitwise_xor.reduceat(bits.reshape(-1, EARLY), held[:-1] // EARLY, axis=0) if len(n) else bits.reshape(-1, EARLY)
             sk = [hashlib.blake2b(codes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first, first[1:])]
             gk = [int.from_bytes(hashlib.blake2b(prefix[a:b].tobytes() + int(m).to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True)
                   for a, b, m in zip(starts, starts[1:], n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int64()), pa.array(sk, pa.binary()), pa.array(gk, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(prefix, pa.int64())),
-                 *[pa.array(packed[:, j], pa.int64()) for j in range(PARITY)]],
-                ["doc_id", "tk", "n", "sk", "gk", "prefix", *[f"s{j}" for j in range(PARITY)]])
+                 pa.ListArray.from_arrays(pa.array(held, pa.int32()), pa.array(bits, pa.int64())),
+                 *[pa.array(early[:, j], pa.int64()) for j in range(EARLY)]],
+                ["doc_id", "tk", "n", "sk", "gk", "prefix", "bits", *[f"s{j}" for j in range(EARLY)]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parity = "".join(f", s{j} long" for j in range(PARITY))
+    parity = ", bits array<long>" + "".join(f", s{j} long" for j in range(EARLY))
     return docs.select("doc_id", "text", text_key(F.col("text")).alias("tk")).mapInArrow(
         run, f"doc_id {kind}, tk string, n long, sk binary, gk long, prefix array<long>{parity}")
 
@@ -130,7 +143,7 @@ class Join:
     def __init__(self, docs: DataFrame, rule: Rule):
         self.docs, self.rule = docs, rule
         self.rows = materialize(signatures(docs, rule), "jaccard_rows")
-        parity = [f"s{j}" for j in range(PARITY)]
+        parity = ["bits", *[f"s{j}" for j in range(EARLY)]]
         some = self.rows.where("n > 0")
         self.sets = materialize(some.groupBy("sk").agg(
             F.first(F.struct("gk", "n", *parity)).alias("v"),
@@ -143,7 +156,10 @@ class Join:
         self.several = materialize(self.sets.join(alone.where("members > 1").select("gk"), "gk"), "jaccard_several")
         self.posted = materialize(posted.join(alone.select("gk", *[F.when(F.col("members") == 1, F.col(f"s{j}")).alias(f"s{j}") for j in range(EARLY)]), "gk"),
                                   "jaccard_lists")
-        self.long = self.posted.where(F.col("groups") > SHORT)
+        # lists that are long, or hold a group of several sets
+        wide = self.posted.where(F.col("s0").isNull() & (F.col("groups") <= SHORT)).select("token").distinct()
+        self.long = materialize(self.posted.where(F.col("groups") > SHORT).unionByName(
+            self.posted.where(F.col("groups") <= SHORT).join(wide, "token", "left_semi")), "jaccard_long")
 
     def labels(self, links: DataFrame | None) -> DataFrame:
         """sk, comp, size of the sets that have links; all others are components of their own."""
@@ -176,17 +192,29 @@ class Join:
         """Two postings of one shingle allow for a link: by size, by the shingles left from this one on, by early parity."""
         left = F.least(F.col(f"{x}.n") - F.col(f"{x}.at"), F.col(f"{y}.n") - F.col(f"{y}.at"))
         need = self.rule.overlap(f"{x}.n", f"{y}.n")
-        differ = self.differ(x, y, EARLY)
+        differ = self.early(x, y)
         return self.rule.sized(f"{x}.n", f"{y}.n") & (left >= need) & (
             differ.isNull() | (differ <= F.col(f"{x}.n") + F.col(f"{y}.n") - 2 * need))
 
-    def differ(self, x: str, y: str, columns: int) -> Column:
-        """At most the number of shingles that only one of the two has."""
+    def early(self, x: str, y: str) -> Column:
+        """At most the number of shingles that only one of the two has, from few bits."""
         out = F.lit(0)
-        for j in range(columns):
+        for j in range(EARLY):
             out = out + F.bit_count(F.col(f"{x}.s{j}").bitwiseXOR(F.col(f"{y}.s{j}")))
         return out
 
+    def differ(self, x: str, y: str) -> Column:
+        """The same from all bits: as many as shingles, so that it stays sharp for long texts. The longer row of bits is folded once."""
+        a, b = F.col(f"{x}.bits"), F.col(f"{y}.bits")
+
+        def folded(bits: Column, other: Column) -> Column:
+            half = F.floor(F.size(bits) / 2).cast("int")
+            return F.when(F.size(bits) > F.size(other), F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(bits)
+
+        u, v = folded(a, b), folded(b, a)
+        count = F.aggregate(F.zip_with(u, v, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, c: total + c)
+        return F.when(F.size(u) == F.size(v), count).otherwise(F.lit(0))
+
     def pairs(self, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Pairs of groups ga, gb (each once) to pairs of their members."""
         members = self.members(labels)
@@ -194,8 +222,8 @@ class Join:
         return self.apart(both.where((F.col("ga") != F.col("gb")) | (F.col("a.sk") < F.col("b.sk"))))
 
     def short(self) -> DataFrame:
-        """All pairs from short lists that the filters let through."""
-        lists = self.posted.where(F.col("groups") <= SHORT).select("token", "gk", "n", "at", *[f"s{j}" for j in range(EARLY)])
+        """All pairs of groups of one set from short lists that the filters let through."""
+        lists = self.posted.where((F.col("groups") <= SHORT) & F.col("s0").isNotNull()).select("token", "gk", "n", "at", *[f"s{j}" for j in range(EARLY)])
         x, y = lists.alias("x"), lists.alias("y")
         groups = x.join(y, F.col("x.token") == F.col("y.token")).where((F.col("x.gk") < F.col("y.gk")) & self.met("x", "y"))
         groups = groups.select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).distinct()
@@ -204,18 +232,17 @@ class Join:
     def apart(self, pairs: DataFrame) -> DataFrame:
         """a, b, an, bn, differ of the pairs of members that are in different components and whose parities allow a link."""
         most = F.col("a.n") + F.col("b.n") - 2 * self.rule.overlap("a.n", "b.n")
-        return (pairs.where(F.col("a.comp") != F.col("b.comp")).where(self.rule.sized("a.n", "b.n"))
+        return (pairs.where((F.col("a.comp") != F.col("b.comp")) & self.rule.sized("a.n", "b.n") & (self.early("a", "b") <= most))
                 .select(F.col("a.sk").alias("a"), F.col("b.sk").alias("b"), F.col("a.n").alias("an"), F.col("b.n").alias("bn"),
-                        self.differ("a", "b", PARITY).alias("differ"), most.alias("most")).where("differ <= most").drop("most"))
+                        self.differ("a", "b").alias("differ"), most.alias("most")).where("differ <= most").drop("most"))
 
     def near(self, number: int, labels: DataFrame | None) -> DataFrame:
-        """Every set with the closest of the pivots of its lists: one pivot per shingle and band of sizes."""
+        """Every set with the closest of the pivots of its lists: one pivot per shingle and band of sizes. It is a group
+        that has the shingle first of all: with the fewest rare shingles of its own it is closest to the others, and for near copies mostly the same in all their lists."""
         lists = self.lists(labels)
-        if labels is not None:                    # what stands alone has had its turn
-            lists = lists.where("size > 1")
         lists = lists.withColumn("band", self.rule.band("n"))
         pivots = lists.groupBy("token", "band").agg(
-            F.max_by(F.struct("gk", "n", "at", "label", *[f"s{j}" for j in range(EARLY)]), F.xxhash64(F.lit(number), "token", "gk")).alias("p"),
+            F.min_by(F.struct("gk", "n", "at", "label", *[f"s{j}" for j in range(EARLY)]), F.struct("at", F.xxhash64(F.lit(number), "gk"))).alias("p"),
             F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "band", "p.*").alias("y")
         groups = (lists.alias("x").join(pivots, ["token", "band"]).where((F.col("x.label") != F.col("y.label")) & self.met("x", "y"))
                   .select(F.col("x.gk").alias("ga"), F.col("y.gk").alias("gb")).unionByName(self.mixed_groups(labels)).distinct())
@@ -242,10 +269,14 @@ class Join:
         """sk, tokens: the whole set of every set in the pairs."""
         k = self.rule.k
         asked = pairs.select(F.col("a").alias("sk")).unionByName(pairs.select(F.col("b").alias("sk"))).distinct()
-        asked = materialize(self.sets.join(asked, "sk", "left_semi").select("sk", "n", F.col("place.doc_id").alias("d"), F.col("place.tk").alias("t")),
-                            "jaccard_asked")
-        texts = self.docs.select("doc_id", "text", text_key(F.col("text")).alias("tk")).join(
-            asked.hint("merge"), (F.col("tk") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("sk", "text")
+        place = F.concat_ws(":", F.col("place.doc_id").cast("string"), "place.tk")
+        asked = materialize(self.sets.join(asked, "sk", "left_semi").select("sk", place.alias("key"), _slot(place).alias("slot")), "jaccard_asked")
+        # a mask of fixed size, so that other texts are not shuffled; what it lets through in vain, the join drops
+        mask = asked.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("mask"))
+        key = F.concat_ws(":", F.col("doc_id").cast("string"), text_key(F.col("text")))
+        texts = self.docs.select("text", key.alias("key")).withColumn("slot", _slot(F.col("key"))).withColumn("word", F.shiftright("slot", 6))
+        texts = texts.join(F.broadcast(mask), "word").where(F.expr("(shiftright(mask, cast(slot & 63 as int)) & 1) = 1")).select("key", "text")
+        texts = texts.join(asked.select("sk", "key").hint("merge"), "key").groupBy("key").agg(F.first("sk").alias("sk"), F.first("text").alias("text"))
 
         def run(batches):
             for batch in slices(batches):
@@ -253,7 +284,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([batch.column("sk"), pa.ListArray.from_arrays(
                     pa.array(first, pa.int32()), pa.array(codes.view(np.int64), pa.int64()))], ["sk", "tokens"])
 
-        return materialize(texts.mapInArrow(run, "sk binary, tokens array<long>").dropDuplicates(["sk"]), "jaccard_tokens")
+        return materialize(texts.select("sk", "text").mapInArrow(run, "sk binary, tokens array<long>"), "jaccard_tokens")
 
     def verify(self, pairs: DataFrame, tokens: DataFrame) -> DataFrame:
         """The linked ones among pairs a, b, an, bn."""
@@ -273,7 +304,8 @@ class Join:
         pairs = materialize(pairs.unionByName(self.rest(labels)).distinct(), "jaccard_pairs")
         tokens = self.tokens(pairs)
         links = self.verify(pairs, tokens)
-        links = links.unionByName(self.verify(self.rest(self.labels(links)).join(pairs, ["a", "b"], "left_anti"), tokens))
+        more = materialize(self.rest(self.labels(links)).join(pairs, ["a", "b"], "left_anti"), "jaccard_more")
+        links = links.unionByName(self.verify(more, tokens))
         return self.labels(links)
 
 
