@@ -11,7 +11,7 @@ then sets with the same prefix and size one group. Groups that meet on a prefix
 filtered by size and by the place of that shingle, and only then expanded to members, which are filtered by
 the parity of their shingles' bits and verified on the full sets.
 
-A shingle's list of at most SHORT groups gives all its pairs. In longer lists, what is asked for helps: components, so
+A shingle's list of at most SHORT groups gives all pairs of its groups of one set. In longer lists, and for larger groups, what is asked for helps: components, so
 two sets that are connected already need no test. ROUNDS rounds pair every set with one well-placed
 partner per list, as many pairs as sets; taken for links, these leave few pairs between different components. The sets of all those pairs are read once and verified. A
 last round then tests every pair that is left between components of verified links. Large groups of near

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from starmart.llm import jaccard
@@ -49,6 +50,21 @@ def test_large_group_of_near_copies(documents):
     assert got == {0}
 
 
+def test_parity_never_exceeds_the_difference():
+    pick = np.random.default_rng(3)
+    n = np.array([1, 200, 0, 300, 5000, 70000])
+    codes = pick.integers(0, 2**63, int(n.sum())).astype(np.uint64)
+    bits, held = jaccard._parity(codes, np.repeat(np.arange(len(n)), n), n)
+    assert all((b - a) * 64 >= m for a, b, m in zip(held, held[1:], n)) and not bits[held[2]:held[3]].any()
+    for size in (1, 300, 5000, 70000):
+        a = pick.integers(0, 2**63, size).astype(np.uint64)
+        b = a.copy()
+        b[:size // 3 + 1] = pick.integers(0, 2**63, size // 3 + 1).astype(np.uint64)
+        bits, held = jaccard._parity(np.concatenate((a, b)), np.repeat([0, 1], size), np.array([size, size]))
+        differ = int(np.bitwise_count((bits[:held[1]] ^ bits[held[1]:]).view(np.uint64)).sum())
+        assert differ <= 2 * (size // 3 + 1) and differ >= size // 6
+
+
 def test_odd_rows(odd):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.report(odd, Rule(3, 90, 100)).collect() if r.doc_id)
     assert [g for g in got if g[0] in (1, 2, 3)] == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
