@@ -6,8 +6,12 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checkbook import mapping, registry
+from starmart.operators import position, validate
+from starmart.plans import months
+from starmart.sources import zones
 
 SF_DIR = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
@@ -35,3 +39,29 @@ def test_array_files_are_never_empty(spark, conf, partitions):
     got = Counter((r["entity"], r["rec"]) for r in registry.ingest_arrays(spark, SF_DIR).collect())
     sent = mapping.deliveries(spark, SF_DIR)
     assert got == Counter((e, r["rec"]) for e, rows in sent.items() for r in rows.collect())
+
+
+def refuse(*_args, **_kwargs):
+    raise AssertionError("work that this query does not need")
+
+
+@tables
+def test_damaged_tables_need_no_whole_run(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "full_run", refuse)
+    assert {"fact_sales", "dim_customer", "agg_daily_sales"} <= set(registry.damaged_tables(spark, SF_DIR))
+
+
+def test_states_write_lost_keys_only(spark, monkeypatch):
+    fact = spark.range(600).selectExpr(
+        "id AS sales_key", "id AS cart_id", "IF(id % 50 = 0, NULL, id % 20) AS customer_key", "id % 30 AS product_key", "20200101 AS date_key",
+        "1 AS quantity", "cast(1 AS decimal(10,2)) AS unit_price", "cast(1 AS decimal(12,2)) AS line_total", "'r' AS etl_run_id",
+        "timestamp'2020-01-01' AS loaded_at", "timestamp'2020-01-01' AS updated_at", "cast(202001 + id % 2 AS int) AS month")
+    t = {"dim_customer": spark.range(1, 20).toDF("customer_key"), "dim_product": spark.range(30).toDF("product_key"),
+         "dim_date": spark.sql("SELECT 20200101 AS date_key")}
+    sizes, write = [], months.materialize
+    monkeypatch.setattr(months, "materialize", lambda df, name: (sizes.append(df.count()), write(df, name))[1])
+    got = {r["month"]: r for r in months.month_states(fact, t).collect()}
+    lost = {i % 2: sum(1 for k in range(600) if k % 2 == i and (k % 50 == 0 or k % 20 == 0)) for i in range(2)}
+    assert {m - 202001: r["orphan_customer_fk"] for m, r in got.items()} == lost
+    assert all((r["rows"], r["revenue"], r["orphan_product_fk"], r["orphan_date_fk"]) == (300, 300, 0, 0) for r in got.values())
+    assert sizes == [1]                      # customer 0; a null key is counted where its row is
