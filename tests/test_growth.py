@@ -51,6 +51,20 @@ def test_damaged_tables_need_no_whole_run(spark, monkeypatch):
     assert {"fact_sales", "dim_customer", "agg_daily_sales"} <= set(registry.damaged_tables(spark, SF_DIR))
 
 
+@tables
+def test_lines_are_numbered_without_a_written_copy(spark, monkeypatch):
+    monkeypatch.setattr(position, "materialize", refuse)
+    rows = mapping.cart_lines(spark, SF_DIR).groupBy("k").agg(F.count("*").alias("n"), F.min("n").alias("a"), F.max("n").alias("b"))
+    assert rows.count() and not rows.filter("a <> 0 OR b <> n - 1").count()
+
+
+@tables
+def test_customers_need_no_carts(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "_kept", {})
+    monkeypatch.setattr(mapping, "cart_lines", refuse)
+    assert registry.QUERIES["dim_customer"](spark, SF_DIR).count() and registry.QUERIES["dim_product"](spark, SF_DIR).count()
+
+
 def test_states_write_lost_keys_only(spark, monkeypatch):
     fact = spark.range(600).selectExpr(
         "id AS sales_key", "id AS cart_id", "IF(id % 50 = 0, NULL, id % 20) AS customer_key", "id % 30 AS product_key", "20200101 AS date_key",
