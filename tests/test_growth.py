@@ -65,6 +65,15 @@ def test_customers_need_no_carts(spark, monkeypatch):
     assert registry.QUERIES["dim_customer"](spark, SF_DIR).count() and registry.QUERIES["dim_product"](spark, SF_DIR).count()
 
 
+@tables
+def test_reasons_come_from_the_rows_as_checked(spark, monkeypatch):
+    mapping.checked(spark, SF_DIR)
+    for step in ("check_records", "check_lines", "reject_orphans"):
+        monkeypatch.setattr(validate, step, refuse)
+    for name in ("reject_reasons", "check_pattern", "orphan_lines"):
+        assert registry.QUERIES[name](spark, SF_DIR).count()
+
+
 def test_states_write_lost_keys_only(spark, monkeypatch):
     fact = spark.range(600).selectExpr(
         "id AS sales_key", "id AS cart_id", "IF(id % 50 = 0, NULL, id % 20) AS customer_key", "id % 30 AS product_key", "20200101 AS date_key",
