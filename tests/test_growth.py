@@ -74,6 +74,13 @@ def test_reasons_come_from_the_rows_as_checked(spark, monkeypatch):
         assert registry.QUERIES[name](spark, SF_DIR).count()
 
 
+def test_the_raw_zone_is_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(i, '{"id": %d}' % i) for i in range(50)], "pos BIGINT, rec STRING")
+    assert zones.write_raw(rows, str(tmp_path), "carts", "r", mapping.LAST_DAY, "carts") == 50
+    assert {f.suffix for f in tmp_path.rglob("part-*")} == {".gz"}
+    assert zones.read_raw(spark, str(tmp_path), "carts", "r", mapping.LAST_DAY).orderBy("pos").collect() == rows.collect()
+
+
 def test_states_write_lost_keys_only(spark, monkeypatch):
     fact = spark.range(600).selectExpr(
         "id AS sales_key", "id AS cart_id", "IF(id % 50 = 0, NULL, id % 20) AS customer_key", "id % 30 AS product_key", "20200101 AS date_key",
