@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checkbook import mapping, registry
 from starmart.operators import position, validate
-from starmart.plans import months
+from starmart.plans import load, months
 from starmart.sources import zones
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -95,3 +95,15 @@ def test_states_write_lost_keys_only(spark, monkeypatch):
     assert {m - 202001: r["orphan_customer_fk"] for m, r in got.items()} == lost
     assert all((r["rows"], r["revenue"], r["orphan_product_fk"], r["orphan_date_fk"]) == (300, 300, 0, 0) for r in got.values())
     assert sizes == [1]                      # customer 0; a null key is counted where its row is
+
+
+def test_a_load_folds_repeated_lines_only(spark, monkeypatch):
+    sales = spark.createDataFrame(
+        [(c, p, q) for c in range(40) for p in range(3) for q in ((2, 1) if c % 10 == 0 else (5,))] + [(None, 1, 4), (None, 1, 3), (7, None, 9)],
+        "cart_id INT, product_id INT, quantity INT")
+    folded, write = [], load.materialize
+    monkeypatch.setattr(load, "materialize", lambda df, name: (folded.append(df.count()), write(df, name))[1])
+    got = load.one_per_key(sales, ["cart_id", "product_id"]).collect()
+    want = [(c, p, 1 if c % 10 == 0 else 5) for c in range(40) for p in range(3)] + [(None, 1, 3), (7, None, 9)]
+    assert Counter(tuple(r) for r in got) == Counter(want)
+    assert folded == [4 * 3 + 1]
