@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from checkbook import mapping, registry
 from starmart.operators import position, validate
 from starmart.plans import load, months
-from starmart.sources import zones
+from starmart.sources import records, zones
 
 SF_DIR = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
@@ -107,3 +108,26 @@ def test_a_load_folds_repeated_lines_only(spark, monkeypatch):
     want = [(c, p, 1 if c % 10 == 0 else 5) for c in range(40) for p in range(3)] + [(None, 1, 3), (7, None, 9)]
     assert Counter(tuple(r) for r in got) == Counter(want)
     assert folded == [4 * 3 + 1]
+
+
+def test_a_cart_is_parsed_once_for_its_day(spark):
+    carts = spark.createDataFrame([(i, t) for i, t in enumerate([
+        '{"date": "2020-03-01"}', '{"date": "2020-03-09"}', '{"date": "2020-3-9T1"}', '{"date": "2020-03-30"}', '{"date": "soon"}', '"junk"', "{", None])],
+        "pos BIGINT, rec STRING")
+    found = records.carts_since(carts, date(2020, 3, 5), date(2020, 3, 11))
+    assert [r["pos"] for r in found.orderBy("pos").collect()] == [1, 2, 4, 5, 6, 7]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") + plan.count("parse_json") == 1
+
+
+def test_only_text_that_can_name_a_secret_is_looked_through(spark):
+    texts = ['{"password": 1, "a": 2}', '{"pass\\u0077ord": 1, "a": 2}', '{"a": "password"}', '{"a": 2}', '["password"]', "{"]
+    got = [r["rec"] for r in records.redact(spark.createDataFrame(list(enumerate(texts)), "pos BIGINT, rec STRING")).orderBy("pos").collect()]
+    assert got[:5] == ['{"a":2}', '{"a":2}', *texts[2:5]] and got[5].startswith('"unreadable: 1 ')
+
+
+@tables
+def test_small_tables_are_delivered_over_all_cores(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "_kept", {})
+    for build in (mapping.delivered_products, mapping.delivered_users):
+        assert len(build(spark, SF_DIR).inputFiles()) == spark.sparkContext.defaultParallelism > 1
