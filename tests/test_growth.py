@@ -131,3 +131,14 @@ def test_small_tables_are_delivered_over_all_cores(spark, monkeypatch):
     monkeypatch.setattr(mapping, "_kept", {})
     for build in (mapping.delivered_products, mapping.delivered_users):
         assert len(build(spark, SF_DIR).inputFiles()) == spark.sparkContext.defaultParallelism > 1
+
+
+@tables
+def test_constraints_need_no_whole_run(spark, monkeypatch):
+    """The logs they look at are those of the load of the tables they look at."""
+    monkeypatch.setattr(mapping, "full_run", refuse)
+    monkeypatch.setattr(mapping, "deliveries", refuse)
+    logs = mapping.logs(spark, SF_DIR)
+    assert [(r["run_id"], r["status"]) for r in logs["etl_run_audit"].collect()] == [("clean", "SUCCESS")]
+    assert Counter(r["status"] for r in logs["data_quality_results"].collect()) == {"PASS": 42}
+    assert "etl_run_audit" in {r["table_name"] for r in registry.QUERIES["constraint_unique"](spark, SF_DIR).collect()}
