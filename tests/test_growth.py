@@ -142,3 +142,15 @@ def test_constraints_need_no_whole_run(spark, monkeypatch):
     assert [(r["run_id"], r["status"]) for r in logs["etl_run_audit"].collect()] == [("clean", "SUCCESS")]
     assert Counter(r["status"] for r in logs["data_quality_results"].collect()) == {"PASS": 42}
     assert "etl_run_audit" in {r["table_name"] for r in registry.QUERIES["constraint_unique"](spark, SF_DIR).collect()}
+
+
+def test_a_load_exchanges_no_constants(spark, shop, deliver, tmp_path, monkeypatch):
+    from starmart.operators import star
+    from starmart.plans.warehouse import Warehouse
+    frames = star.build_all({k: v.valid for k, v in validate.validate_all(deliver(shop)).items()})
+    seen, number = [], load.assign_keys
+    monkeypatch.setattr(load, "assign_keys", lambda df, natural, key, last: (seen.extend(df.columns if key == "sales_key" else []), number(df, natural, key, last))[1])
+    first = load.Load(Warehouse(spark, str(tmp_path)), "r1")
+    first.all(frames)
+    assert seen and not {"etl_run_id", "loaded_at", "updated_at"} & set(seen)
+    assert {(r["etl_run_id"], r["loaded_at"] is None) for r in first.tables()["fact_sales"].collect()} == {("r1", False)}
