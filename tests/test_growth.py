@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checkbook import mapping, registry
 from starmart.operators import position, validate
-from starmart.plans import load, months
+from starmart.plans import job, load, months
 from starmart.sources import records, zones
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -154,3 +154,12 @@ def test_a_load_exchanges_no_constants(spark, shop, deliver, tmp_path, monkeypat
     first.all(frames)
     assert seen and not {"etl_run_id", "loaded_at", "updated_at"} & set(seen)
     assert {(r["etl_run_id"], r["loaded_at"] is None) for r in first.tables()["fact_sales"].collect()} == {("r1", False)}
+
+
+def test_a_run_writes_its_sales_frame_once(spark, shop, deliver, tmp_path, monkeypatch):
+    names, write = [], job.materialize
+    monkeypatch.setattr(job, "materialize", lambda df, name: (names.append(name), write(df, name))[1])
+    for form in ("parquet", "csv"):
+        settings = job.Settings(f"{tmp_path}/{form}/zones", f"{tmp_path}/{form}/warehouse", processed_form=form)
+        assert job.run(spark, settings, deliver(shop), run_id="r1")["loaded_counts"]["dim_date"]["inserted"] == 9
+    assert set(names) == {"counts"}
