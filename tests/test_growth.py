@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checkbook import mapping, registry
 from starmart.operators import position, validate
-from starmart.plans import job, load, months
+from starmart.plans import checks, job, load, months
 from starmart.sources import records, zones
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -163,3 +163,13 @@ def test_a_run_writes_its_sales_frame_once(spark, shop, deliver, tmp_path, monke
         settings = job.Settings(f"{tmp_path}/{form}/zones", f"{tmp_path}/{form}/warehouse", processed_form=form)
         assert job.run(spark, settings, deliver(shop), run_id="r1")["loaded_counts"]["dim_date"]["inserted"] == 9
     assert set(names) == {"counts"}
+
+
+def test_a_run_groups_the_keys_of_its_sales_once_after_the_load(spark, shop, deliver, tmp_path, monkeypatch):
+    known, count = [], checks.business_keys
+    monkeypatch.setattr(checks, "business_keys", lambda t, found=None: (known.append(found), count(t, found))[1])
+    out = job.run(spark, job.Settings(f"{tmp_path}/zones", f"{tmp_path}/warehouse"), deliver(shop), run_id="r1")
+    assert known == [{"fact_sales": 0}] and out["quality"] == {"PASS": 42, "WARN": 0, "FAIL": 0}
+    t = {n: spark.range(3).toDF(k[0]) for n, k in checks.BUSINESS_KEYS.items()}      # of the fact no product, so no key to group by
+    found = {r["entity"]: (r["actual"], r["status"]) for r in count(t, {"fact_sales": 2}).collect()}
+    assert found["fact_sales"] == ("2", "FAIL") and found["dim_customer"] == ("0", "PASS")
