@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import date
 from pathlib import Path
@@ -173,3 +174,44 @@ def test_a_run_groups_the_keys_of_its_sales_once_after_the_load(spark, shop, del
     t = {n: spark.range(3).toDF(k[0]) for n, k in checks.BUSINESS_KEYS.items()}      # of the fact no product, so no key to group by
     found = {r["entity"]: (r["actual"], r["status"]) for r in count(t, {"fact_sales": 2}).collect()}
     assert found["fact_sales"] == ("2", "FAIL") and found["dim_customer"] == ("0", "PASS")
+
+
+def test_checking_carts_is_compiled_by_the_jvm(spark, tmp_path):
+    """One generated method of 13,815 bytes held all forms of a date; the JVM leaves methods of more than 8,000 bytes to its interpreter."""
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    spark.createDataFrame([(1, '{"id": 1, "userId": 2, "date": "2020-3-9T1", "products": [{"productId": 1, "quantity": 1}]}')], "pos BIGINT, rec STRING").write.parquet(f"{tmp_path}/c")
+    checked = validate.check_records(spark.read.parquet(f"{tmp_path}/c"), "carts")
+    plan = checked._jdf.queryExecution().executedPlan()
+    code = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenString(plan)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
+    assert [(r["id"], r["date"], r["reasons"]) for r in checked.collect()] == [(1, "2020-3-9T1", "")]
+
+
+def test_a_cart_is_parsed_once_on_its_way_to_the_raw_zone(spark):
+    """The look-back's filter and the redaction parsed it each."""
+    texts = ['{"date": "2020-03-09", "password": 1}', '{"date": "2020-03-01"}', "{", '{"date": "2020-03-10"}']
+    carts = spark.createDataFrame(list(enumerate(texts)), "pos BIGINT, rec STRING")
+    found = records.redact(records.carts_since(records.parsed(carts), date(2020, 3, 5), date(2020, 3, 11)))
+    assert found.columns == ["pos", "rec"]
+    got = {r["pos"]: r["rec"] for r in found.collect()}
+    assert set(got) == {0, 2, 3} and got[0] == '{"date":"2020-03-09"}' and got[3] == texts[3] and got[2].startswith('"unreadable: 1 ')
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") + plan.count("parse_json") == 1
+
+
+def test_a_whole_number_is_read_without_a_cast(spark):
+    """Its JSON is its text; other tokens are cast as before, to the same text."""
+    texts = ["5", "-0", "9223372036854775807", "-9223372036854775808", "9223372036854775808", "1e2", "2.50", '"7"', '" 8 "', "true", "null", "[]", "{}", '{"a":1}', "[1]"]
+    rows = spark.createDataFrame([(f'{{"productId": {t}, "quantity": 1}}',) for t in texts], "rec STRING").select("rec", F.try_parse_json("rec").alias("v"))
+    flat = validate.flatten(rows.withColumn("cast", F.try_variant_get("v", "$.productId", "string")), "cart_items", F.col("v"), ["cast"])
+    assert all(r["product_id__text"] == r["cast"] for r in flat.collect()) and flat.filter("product_id__text IS NULL").count() == 1
+    assert "to_json" in flat._jdf.queryExecution().analyzed().toString()
+
+
+def test_only_rejected_lines_are_kept_as_they_came(spark, shop, deliver):
+    shop["carts"][0]["products"] += [{"productId": 99, "quantity": 1}, {"productId": 1, "quantity": 9}, {"productId": 1, "quantity": "x"}]
+    items = validate.validate_all(deliver(shop))["cart_items"]
+    assert {(r["reasons"] == "", r["line_value"] is None) for r in items.rows.collect()} == {(True, True), (False, False)}
+    assert sorted(r["reject_reason"] for r in items.rejected.filter("raw_record LIKE '%\"line\":{%'").collect()) == [
+        "duplicate_key:cart_id+product_id", "invalid_type:quantity(expected int)", "orphan_reference:product_id"]
