@@ -215,3 +215,20 @@ def test_only_rejected_lines_are_kept_as_they_came(spark, shop, deliver):
     assert {(r["reasons"] == "", r["line_value"] is None) for r in items.rows.collect()} == {(True, True), (False, False)}
     assert sorted(r["reject_reason"] for r in items.rejected.filter("raw_record LIKE '%\"line\":{%'").collect()) == [
         "duplicate_key:cart_id+product_id", "invalid_type:quantity(expected int)", "orphan_reference:product_id"]
+
+
+def test_a_batch_meets_the_rows_of_its_carts_only(spark, shop, deliver, tmp_path, monkeypatch):
+    """The whole fact was exchanged with the batch, and again for the carts that changed."""
+    sizes, write = {}, load.materialize
+
+    def put(df, name):
+        sizes[name] = df.count()
+        return write(df, name)
+    settings = job.Settings(f"{tmp_path}/zones", f"{tmp_path}/warehouse", lookback_days=0)
+    job.run(spark, settings, deliver(shop), run_id="r1")
+    shop["carts"][2]["products"][0]["quantity"] = 7
+    shop["carts"].append({"id": 4, "userId": 1, "date": "2020-03-11", "products": [{"productId": 1, "quantity": 1}]})
+    monkeypatch.setattr(load, "materialize", put)
+    out = job.run(spark, settings, deliver(shop), run_id="r2")
+    assert out["loaded_counts"]["fact_sales"] == {"staged": 3, "inserted": 1, "updated": 1, "unchanged": 1}
+    assert sizes["met_carts"] == 1 and sizes["met_sales"] == 2 and "changed_carts" not in sizes
