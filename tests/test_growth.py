@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from datetime import date
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from checkbook import mapping, registry
 from starmart.operators import position, validate
-from starmart.plans import checks, job, load, months
+from starmart.plans import checks, constraints, job, load, months
+from starmart.schemas import FRAMES
 from starmart.sources import records, zones
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -217,6 +219,10 @@ def test_only_rejected_lines_are_kept_as_they_came(spark, shop, deliver):
         "duplicate_key:cart_id+product_id", "invalid_type:quantity(expected int)", "orphan_reference:product_id"]
 
 
+def sales_of(spark, rows):
+    return spark.createDataFrame([(c, 1, p, 20200101, date(2020, 1, 1), q, Decimal(1), Decimal(q)) for c, p, q in rows], FRAMES["fact_sales"])
+
+
 def test_a_batch_meets_the_rows_of_its_carts_only(spark, shop, deliver, tmp_path, monkeypatch):
     """The whole fact was exchanged with the batch, and again for the carts that changed."""
     sizes, write = {}, load.materialize
@@ -232,3 +238,26 @@ def test_a_batch_meets_the_rows_of_its_carts_only(spark, shop, deliver, tmp_path
     out = job.run(spark, settings, deliver(shop), run_id="r2")
     assert out["loaded_counts"]["fact_sales"] == {"staged": 3, "inserted": 1, "updated": 1, "unchanged": 1}
     assert sizes["met_carts"] == 1 and sizes["met_sales"] == 2 and "changed_carts" not in sizes
+
+
+def test_keys_of_sales_and_fact_are_grouped_once(spark):
+    fact = spark.createDataFrame([(1, 11), (1, 11), (1, 12), (2, 11), (None, 11), (None, 11), (9, 12)], "cart_id BIGINT, product_key BIGINT")
+    products = spark.createDataFrame([(1, 11), (2, 12)], "product_id BIGINT, product_key BIGINT")
+    sales = sales_of(spark, [(1, 1, 1), (1, 2, 1), (2, 2, 1), (2, 1, 1), (None, 1, 1), (9, 3, 1)])
+    t = {"fact_sales": fact, "dim_product": products}
+    found = checks.sales_met(sales, fact, products)
+    alone = checks.loaded_rows({"fact_sales": sales}, t).first()
+    surplus = {r["subject"]: r["violations"] for r in constraints.unique({"fact_sales": fact.withColumn("sales_key", F.monotonically_increasing_id())}).collect()}
+    assert found.first().asDict() == {"surplus": surplus["cart_id+product_key"], "hits": int(alone["actual"])} == {"surplus": 2, "hits": 3}
+    assert sum("Exchange hashpartitioning(cart_id" in line for line in found._jdf.queryExecution().executedPlan().toString().splitlines()) == 1
+    known = checks.loaded_rows({"fact_sales": sales}, t, {"fact_sales": 3}).first()
+    assert known == alone
+
+
+def test_sales_whose_keys_the_gate_found_unique_are_not_grouped_again(spark, shop, deliver, tmp_path, monkeypatch):
+    monkeypatch.setattr(load, "one_per_key", refuse)
+    settings = job.Settings(f"{tmp_path}/zones", f"{tmp_path}/warehouse")
+    assert job.run(spark, settings, deliver(shop), run_id="r1")["quality"] == {"PASS": 42, "WARN": 0, "FAIL": 0}
+    row = lambda name, status: {"check_name": name, "entity": "fact_sales", "status": status}
+    assert not checks.unique_frame([row("null_keys", "PASS"), row("duplicate_keys", "FAIL")], "fact_sales")
+    assert not checks.unique_frame([row("duplicate_keys", "PASS")], "fact_sales")
