@@ -261,3 +261,23 @@ def test_sales_whose_keys_the_gate_found_unique_are_not_grouped_again(spark, sho
     row = lambda name, status: {"check_name": name, "entity": "fact_sales", "status": status}
     assert not checks.unique_frame([row("null_keys", "PASS"), row("duplicate_keys", "FAIL")], "fact_sales")
     assert not checks.unique_frame([row("duplicate_keys", "PASS")], "fact_sales")
+
+
+@tables
+def test_the_first_half_looks_for_a_date_once(spark, monkeypatch):
+    """Its filter took the date out of every cart by each use of it."""
+    taken = []
+    monkeypatch.setattr(mapping, "_kept", {k: v for k, v in mapping._kept.items() if k[0] != "two_runs"})
+    monkeypatch.setattr(job, "run", lambda spark, s, sources, **_: taken.append(sources["carts"]))
+    mapping.two_runs(spark, SF_DIR)
+    assert taken[0]._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+    days = [r[0][:10] for r in taken[0].select(F.get_json_object("rec", "$.date")).collect()]
+    assert days and max(days) <= mapping.FIRST_HALF.isoformat() and 0 < len(days) < taken[1].count()
+
+
+def test_steps_that_need_not_wait_run_together(spark, shop, deliver, tmp_path, monkeypatch):
+    """The quarantine beside the processed zone; states, keys and constraints of what is loaded beside each other."""
+    side_by_side, run = [], job.together
+    monkeypatch.setattr(job, "together", lambda *work: (side_by_side.append(len(work)), run(*work))[1])
+    out = job.run(spark, job.Settings(f"{tmp_path}/zones", f"{tmp_path}/warehouse"), deliver(shop), run_id="r1")
+    assert side_by_side == [3, 2, 3] and out["quality"]["PASS"] == 42
